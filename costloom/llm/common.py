@@ -109,11 +109,11 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class Words:
-    """The words of many texts at once: byte spans in `low` (A-Z lower-cased), the text each belongs to, and a 64-bit hash."""
+    """The words of many texts at once: byte spans in `low` (A-Z lower-cased, if asked), the text each belongs to, and a 64-bit hash."""
 
-    def __init__(self, col: pa.Array, hashes: bool = True):
+    def __init__(self, col: pa.Array, hashes: bool = True, lower: bool = True):
         raw, off = buffers(col)
-        self.raw, self.offsets, self.low = raw, off, LOWER[raw]
+        self.raw, self.offsets, self.low = raw, off, LOWER[raw] if lower else raw
         n = len(raw)
         if n:
             space = SPACE[raw]
@@ -134,12 +134,20 @@ class Words:
             self.hash = self._hash()
 
     def _hash(self) -> np.ndarray:
-        n = len(self.low)
-        up, down = _powers(n + 1)
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum((self.low.astype(np.uint64) + np.uint64(1)) * up[:n], out=total[1:])
-        span = (total[self.end] - total[self.start]) * down[self.start]
-        return mix(span + mix((self.end - self.start).astype(np.uint64)))
+        return SpanHash(self.low)(self.start, self.end)
+
+
+class SpanHash:
+    """Hashes of spans of a byte string, from prefix sums of a polynomial modulo 2^64."""
+
+    def __init__(self, raw: np.ndarray):
+        up, self.down = _powers(len(raw) + 1)
+        self.total = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[: len(raw)], out=self.total[1:])
+
+    def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        span = (self.total[end] - self.total[start]) * self.down[start]
+        return mix(span + mix((end - start).astype(np.uint64)))
 
 
 def shingle_sets(words: Words, width: int) -> list[np.ndarray]:
@@ -169,3 +177,9 @@ def lists(rows: list[np.ndarray], kind: pa.DataType) -> pa.Array:
     np.cumsum([len(r) for r in rows], out=off[1:])
     flat = np.concatenate(rows) if rows else np.empty(0, np.int64)
     return pa.ListArray.from_arrays(pa.array(off), pa.array(flat, kind))
+
+
+def vocabulary_file(spark: SparkSession, path: str):
+    """The bytes of a vocabulary file as a broadcast; some megabytes, as a vocabulary has a fixed size."""
+    with open(path, "rb") as f:
+        return spark.sparkContext.broadcast(f.read())
