@@ -16,16 +16,28 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-#: The words of a text: runs of letters, digits and all beyond ASCII.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: The words of a lower-cased text are runs of letters, digits and all beyond ASCII; what parts them; words of either case.
+GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+ANY_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: Letters beyond ASCII that lower() would change, and code points that it may know and this pattern doesn't.
+OTHER_UPPER = r"[[\p{javaUpperCase}\p{javaTitleCase}\p{Cn}]&&[^\x00-\x7F]]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: A side of up to so many rows is broadcast; beyond it the join shuffles.
-BROADCAST_ROWS = 100_000
+#: A side of up to so many rows is broadcast; beyond it the join shuffles. IDS are two longs each.
+BROADCAST_ROWS, BROADCAST_IDS = 100_000, 1_000_000
+
+
+def lowered(text: Column) -> Column:
+    """A-Z in lower case. Where no other letter has one, lower() does the same, and much faster than translate()."""
+    return F.when(text.rlike(OTHER_UPPER), F.translate(text, UPPER, LOWER)).otherwise(F.lower(text))
 
 
 def words(text: str | Column) -> Column:
     text = F.col(text) if isinstance(text, str) else text
-    return F.coalesce(F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(f"({WORD})"), F.lit(1)), F.array().cast("array<string>"))
+    return F.coalesce(F.array_remove(F.split(lowered(text), GAP), ""), F.array().cast("array<string>"))
+
+
+def n_words(text: str) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(ANY_WORD)), F.lit(0)).cast("long")
 
 
 def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -74,19 +86,23 @@ def decontaminated(docs: DataFrame, bench: DataFrame, window: int = 10, rarest:
     index = postings(docs, terms)
     near = alignments(index, its, rarest)
     cand = stored(near.join(bounded(its), "ik").groupBy("doc_id", "h").agg(F.collect_list(F.struct("item", "w", "len", "win", "diag")).alias("c")))
-    mine = docs.select("doc_id", F.xxhash64("text").alias("h"), words("text").alias("ws"))
-    c = bounded(cand.select(F.col("doc_id").alias("d2"), F.col("h").alias("h2"), "c"))
-    both = mine.join(c, F.col("doc_id").eqNullSafe(F.col("d2")) & (F.col("h") == F.col("h2")), "left")
+    hashed = docs.withColumn("h", F.xxhash64("text"))
+    ids = bounded(cand.select(F.col("doc_id").alias("d2"), F.col("h").alias("h2")), BROADCAST_IDS)
+    same = F.col("doc_id").eqNullSafe(F.col("d2")) & (F.col("h") == F.col("h2"))
+    # only the few texts with an alignment are shuffled and split into words again
+    none = {"hits": F.array().cast("array<int>"), "items": F.array().cast("array<string>")}
+    clean = hashed.join(ids, same, "left_anti").select("doc_id", n_words("text").alias("n_words"), *(v.alias(k) for k, v in none.items()))
+    near_texts = hashed.join(ids, same, "left_semi").alias("t").join(cand.alias("c"), F.col("t.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("t.h") == F.col("c.h")))
+    mine = near_texts.select("t.doc_id", n_words("t.text").alias("n_words"), words("t.text").alias("ws"), "c.c")
     # flags: 1 where item and document agree; a word is hit where a whole window of ones covers it
     flags = "array_join(transform(x.w, (t, o) -> if(t <=> if(x.diag + o < 0, null, get(ws, x.diag + o)), '1', '0')), '')"
-    marked = F.expr(f"transform(coalesce(c, array()), x -> struct(x.item AS item, x.len AS len, x.win AS win, x.diag AS diag, {flags} AS f))")
+    marked = F.expr(f"transform(c, x -> struct(x.item AS item, x.len AS len, x.win AS win, x.diag AS diag, {flags} AS f))")
     full = F.expr("filter(m, x -> instr(x.f, repeat('1', x.win)) > 0)")
     hits = F.expr("""array_sort(array_distinct(flatten(transform(m, x -> transform(filter(sequence(0, x.len - 1), o ->
         exists(sequence(greatest(0, o - x.win + 1), least(o, x.len - x.win)), b -> substring(x.f, b + 1, x.win) = repeat('1', x.win))), o -> x.diag + o)))))""")
-    out = both.withColumn("m", F.when(F.col("c").isNotNull(), marked)).withColumn("m", full)
-    none = F.array().cast("array<int>")
-    out = out.select("doc_id", F.size("ws").cast("long").alias("n_words"), F.coalesce(F.when(F.size("m") > 0, hits), none).alias("hits"), F.coalesce(F.expr("array_sort(array_distinct(transform(m, x -> x.item)))"), F.array().cast("array<string>")).alias("items"))
-    return out.select(
+    met = mine.withColumn("m", marked).withColumn("m", full)
+    met = met.select("doc_id", "n_words", F.when(F.size("m") > 0, hits).otherwise(none["hits"]).alias("hits"), F.expr("array_sort(array_distinct(transform(m, x -> x.item)))").alias("items"))
+    return clean.unionByName(met).select(
         "doc_id",
         "n_words",
         F.size("hits").cast("long").alias("n_hit"),
