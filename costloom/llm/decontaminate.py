@@ -16,9 +16,8 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-#: The words of a lower-cased text are runs of letters, digits and all beyond ASCII; what parts them; words of either case.
+#: The words of a lower-cased text are runs of letters, digits and all beyond ASCII; what parts them.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-ANY_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Letters beyond ASCII that lower() would change, and code points that it may know and this pattern doesn't.
 OTHER_UPPER = r"[[\p{javaUpperCase}\p{javaTitleCase}\p{Cn}]&&[^\x00-\x7F]]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -31,13 +30,13 @@ def lowered(text: Column) -> Column:
     return F.when(text.rlike(OTHER_UPPER), F.translate(text, UPPER, LOWER)).otherwise(F.lower(text))
 
 
-def words(text: str | Column) -> Column:
-    text = F.col(text) if isinstance(text, str) else text
-    return F.coalesce(F.array_remove(F.split(lowered(text), GAP), ""), F.array().cast("array<string>"))
+def parted(text: str) -> Column:
+    """An empty string, the words, and an empty string if a gap ends the text."""
+    return F.split(lowered(F.concat(F.lit(" "), F.coalesce(F.col(text), F.lit("")))), GAP)
 
 
-def n_words(text: str) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(ANY_WORD)), F.lit(0)).cast("long")
+def words(text: str) -> Column:
+    return F.array_remove(parted(text), "")
 
 
 def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -46,14 +45,22 @@ def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 def items(bench: DataFrame, window: int) -> DataFrame:
     """(ik, item, w, len, win): distinct items that have words; stored."""
-    out = bench.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), words(F.col("text").cast("string")).alias("w")).where("size(w) > 0").distinct()
+    out = bench.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), words("text").alias("w")).where("size(w) > 0").distinct()
     return stored(out.select(F.xxhash64("item", "w").alias("ik"), "item", "w", F.size("w").alias("len"), F.least(F.size("w"), F.lit(window)).alias("win")))
 
 
 def postings(docs: DataFrame, terms: DataFrame | None = None) -> DataFrame:
-    """The stored index: (doc_id, h, pos, term), h being a hash of the text; of the given terms (term) only, if there are any."""
-    out = docs.select("doc_id", F.xxhash64("text").alias("h"), F.posexplode(words("text")).alias("pos", "term"))
-    return stored(out.join(bounded(terms), "term") if terms is not None else out)
+    """The stored index: (doc_id, h, pos, term, n_words), h being a hash of the text; of the given terms (term) only, if there are any.
+
+    Each document has one more posting, of the empty term at -1, so that the index knows all documents.
+    """
+    split = docs.select("doc_id", F.xxhash64("text").alias("h"), parted("text").alias("ws"))
+    n = F.size("ws") - 1 - (F.element_at("ws", -1) == "").cast("int")
+    out = split.select("doc_id", "h", F.greatest(n, F.lit(0)).alias("n_words"), F.posexplode("ws").alias("p", "term")).where("p = 0 OR term <> ''")
+    if terms is not None:
+        empty = terms.sparkSession.range(1).select(F.lit("").alias("term"))
+        out = out.join(bounded(stored(terms.select("term").union(empty))), "term")
+    return stored(out.select("doc_id", "h", (F.col("p") - 1).alias("pos"), "term", "n_words"))
 
 
 def _offsets(its: DataFrame) -> DataFrame:
@@ -70,7 +77,7 @@ def anchors(its: DataFrame, df: DataFrame, rarest: int) -> DataFrame:
 
 def alignments(index: DataFrame, its: DataFrame, rarest: int = 2) -> DataFrame:
     """(doc_id, h, ik, diag): where the rarest terms of some window stand at their offsets from word diag of the document."""
-    df = stored(index.groupBy("term").agg(F.count("*").alias("n")))
+    df = stored(index.where("pos >= 0").groupBy("term").agg(F.count("*").alias("n")))
     found = index.join(bounded(anchors(its, df, rarest)), "term").select("doc_id", "h", "ik", (F.col("pos") - F.col("off")).alias("diag"))
     # one offset of a window can hold for a run of windows; short windows have a single term
     need = F.least(F.lit(rarest), F.col("win"))
@@ -90,19 +97,19 @@ def decontaminated(docs: DataFrame, bench: DataFrame, window: int = 10, rarest:
     ids = bounded(cand.select(F.col("doc_id").alias("d2"), F.col("h").alias("h2")), BROADCAST_IDS)
     same = F.col("doc_id").eqNullSafe(F.col("d2")) & (F.col("h") == F.col("h2"))
     # only the few texts with an alignment are shuffled and split into words again
-    none = {"hits": F.array().cast("array<int>"), "items": F.array().cast("array<string>")}
-    clean = hashed.join(ids, same, "left_anti").select("doc_id", n_words("text").alias("n_words"), *(v.alias(k) for k, v in none.items()))
-    near_texts = hashed.join(ids, same, "left_semi").alias("t").join(cand.alias("c"), F.col("t.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("t.h") == F.col("c.h")))
-    mine = near_texts.select("t.doc_id", n_words("t.text").alias("n_words"), words("t.text").alias("ws"), "c.c")
+    near_texts = hashed.join(ids, same, "left_semi").dropDuplicates(["doc_id", "h"]).alias("t").join(cand.alias("c"), F.col("t.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("t.h") == F.col("c.h")))
+    mine = near_texts.select("t.doc_id", "t.h", words("t.text").alias("ws"), "c.c")
     # flags: 1 where item and document agree; a word is hit where a whole window of ones covers it
     flags = "array_join(transform(x.w, (t, o) -> if(t <=> if(x.diag + o < 0, null, get(ws, x.diag + o)), '1', '0')), '')"
     marked = F.expr(f"transform(c, x -> struct(x.item AS item, x.len AS len, x.win AS win, x.diag AS diag, {flags} AS f))")
     full = F.expr("filter(m, x -> instr(x.f, repeat('1', x.win)) > 0)")
     hits = F.expr("""array_sort(array_distinct(flatten(transform(m, x -> transform(filter(sequence(0, x.len - 1), o ->
         exists(sequence(greatest(0, o - x.win + 1), least(o, x.len - x.win)), b -> substring(x.f, b + 1, x.win) = repeat('1', x.win))), o -> x.diag + o)))))""")
-    met = mine.withColumn("m", marked).withColumn("m", full)
-    met = met.select("doc_id", "n_words", F.when(F.size("m") > 0, hits).otherwise(none["hits"]).alias("hits"), F.expr("array_sort(array_distinct(transform(m, x -> x.item)))").alias("items"))
-    return clean.unionByName(met).select(
+    met = mine.withColumn("m", marked).withColumn("m", full).where("size(m) > 0").select("doc_id", "h", hits.alias("hits"), F.expr("array_sort(array_distinct(transform(m, x -> x.item)))").alias("items"))
+    every = index.where("pos < 0").alias("d")
+    out = every.join(met.alias("m"), F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("d.h") == F.col("m.h")), "left")
+    out = out.select("d.doc_id", F.col("n_words").cast("long").alias("n_words"), F.coalesce("hits", F.array().cast("array<int>")).alias("hits"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+    return out.select(
         "doc_id",
         "n_words",
         F.size("hits").cast("long").alias("n_hit"),
@@ -123,7 +130,7 @@ def proximity(docs: DataFrame, bench: DataFrame, terms: int = 4, within: int = 2
     its = items(bench, 1)
     vocab = stored(its.select(F.explode("w").alias("term")).distinct())
     index = postings(docs, vocab)
-    df = stored(index.groupBy("term").agg(F.count("*").alias("n")))
+    df = stored(index.where("pos >= 0").groupBy("term").agg(F.count("*").alias("n")))
     per = _offsets(its).select("ik", "term").distinct().join(bounded(df), "term", "left").groupBy("ik").agg(F.slice(F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "term"))), 1, terms).alias("r")).where("r[0].n > 0")
     rare = stored(per.select("ik", F.size("r").alias("k"), F.explode("r.term").alias("term")))
     # a span of `within` words starts in one block of that width and ends in the same or the next
