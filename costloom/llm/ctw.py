@@ -127,7 +127,7 @@ def _choices(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(n, 255) counts of 0 and 1 at each choice node, level by level, from (n, 256) counts of bytes."""
     zero, one, t = [], [], counts
     for _ in range(8):
-        t = t.reshape(len(t), -1, 2)
+        t = t.reshape(len(t), t.shape[1] // 2, 2)
         zero.append(t[:, :, 0])
         one.append(t[:, :, 1])
         t = t.sum(2)
@@ -153,7 +153,7 @@ def _log_bytes(p: np.ndarray) -> np.ndarray:
     for level in range(8):
         q = p[:, at : at + (1 << level)]
         at += 1 << level
-        out = np.stack((out + np.log10(1 - q), out + np.log10(q)), 2).reshape(len(p), -1)
+        out = np.stack((out + np.log10(1 - q), out + np.log10(q)), 2).reshape(len(p), 2 << level)
     return out.astype(np.float32)
 
 

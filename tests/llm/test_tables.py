@@ -149,7 +149,11 @@ def test_no_planted_value_is_left(spark):
     old = {r.doc_id: set(find.findall(r.text or "")) for r in docs.collect()}
     assert sum(map(len, old.values())) > 50
     for r in out:
-        assert not any(v in (r.text or "") for v in old[r.doc_id] if len(v) > 7), r.doc_id
+        for v in old[r.doc_id]:
+            if re.fullmatch(r"\d{16}", v) and not luhn(v):  # no card number: nothing personal
+                assert v in r.text
+            elif len(v) > 7:
+                assert v not in (r.text or ""), r.doc_id
 
 
 # URLs.
