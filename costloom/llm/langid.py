@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SpanHash, Words, crc_mod, steps
+from .common import SpanHash, Words, crc_mod, steps, stored
 
 PER_LANG, SAMPLE_CHARS = 150, 4000
 BUCKETS = 1 << 18
@@ -212,7 +212,8 @@ class Field:
 def sample(docs: DataFrame, per_lang: int = PER_LANG) -> list[tuple[str, str]]:
     """(lang, text): of each language the up to `per_lang` texts of smallest hash, cut to SAMPLE_CHARS."""
     own = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", F.xxhash64("doc_id", "lang").alias("h"), F.substring("text", 1, SAMPLE_CHARS).alias("text"))
-    sizes = own.groupBy("lang").agg(F.count("*").alias("n"))
+    sizes = stored(own.groupBy("lang").agg(F.count("*").alias("n")))
+    sizes = F.broadcast(sizes) if sizes.limit(100_001).count() <= 100_000 else sizes
     # far more than enough pass a threshold on the hash, so that few rows meet to be ranked
     unit = F.col("h").cast("double") / 2.0**64 + 0.5
     few = own.join(sizes, "lang").where(unit * F.col("n") <= 2 * per_lang + 50).groupBy("lang").agg(F.slice(F.sort_array(F.collect_list(F.struct("h", "text"))), 1, per_lang).alias("x"))
