@@ -105,7 +105,9 @@ def decontaminated(docs: DataFrame, bench: DataFrame, window: int = 10, rarest:
     full = F.expr("filter(m, x -> instr(x.f, repeat('1', x.win)) > 0)")
     hits = F.expr("""array_sort(array_distinct(flatten(transform(m, x -> transform(filter(sequence(0, x.len - 1), o ->
         exists(sequence(greatest(0, o - x.win + 1), least(o, x.len - x.win)), b -> substring(x.f, b + 1, x.win) = repeat('1', x.win))), o -> x.diag + o)))))""")
-    met = mine.withColumn("m", marked).withColumn("m", full).where("size(m) > 0").select("doc_id", "h", hits.alias("hits"), F.expr("array_sort(array_distinct(transform(m, x -> x.item)))").alias("items"))
+    # stored, or the comparison would run again for each thing that is read off it
+    met = stored(mine.withColumn("m", marked).select("doc_id", "h", full.alias("m"))).where("size(m) > 0")
+    met = met.select("doc_id", "h", hits.alias("hits"), F.expr("array_sort(array_distinct(transform(m, x -> x.item)))").alias("items"))
     every = index.where("pos < 0").alias("d")
     out = every.join(met.alias("m"), F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("d.h") == F.col("m.h")), "left")
     out = out.select("d.doc_id", F.col("n_words").cast("long").alias("n_words"), F.coalesce("hits", F.array().cast("array<int>")).alias("hits"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
