@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one vectorised step holds; a longer text is a step of its own.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 2 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:

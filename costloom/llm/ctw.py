@@ -161,7 +161,7 @@ class ContextTree:
     """The trained tree: `step` leads from a node and the next older byte to a node or, as -1 - leaf, to a leaf; `log10` has the leaves' byte log probabilities."""
 
     def __init__(self, levels: list[tuple[np.ndarray, np.ndarray]]):
-        """levels: for each depth from 0, sorted contexts (numbers, the latest byte lowest) and their (n, 256) byte counts."""
+        """levels: for each depth from 0, sorted contexts (numbers, the latest byte lowest) and their (n, 256) byte counts; each is dropped from the list once it is used."""
         depth = len(levels) - 1
         up = [np.searchsorted(levels[d - 1][0], levels[d][0] & ((1 << 8 * (d - 1)) - 1)) if d else None for d in range(depth + 1)]
         rest = []
@@ -172,10 +172,12 @@ class ContextTree:
         # from the leaves up: weighted probabilities, and each node's own share in them
         chance, share = [None] * (depth + 1), [None] * (depth + 1)
         below, chance[depth] = _in_parts(_estimate, levels[depth][1])
+        levels[depth] = (levels[depth][0], None)
         rest_chance = [None] * depth
         for d in range(depth - 1, -1, -1):
             own, chance[d] = _in_parts(_estimate, levels[d][1])
             split, rest_chance[d] = _in_parts(_estimate, rest[d])
+            levels[d], rest[d] = (levels[d][0], None), None
             np.add.at(split, up[d + 1], below)
             below = np.logaddexp(own, split) - math.log(2)
             share[d] = np.exp(own - math.log(2) - below).astype(np.float32)
