@@ -22,7 +22,7 @@ def _levels(job_cost: DataFrame) -> list[str]:
 
 def daily_pool_cost(raw: DataFrame) -> DataFrame:
     """POOL_KEYS, cost: the pool branch with its sentinel for a null batch account."""
-    return gate.batch_slice(raw).groupBy(*POOL_KEYS).agg(F.sum("pre_tax_cost").alias("cost"))
+    return gate.batch_slice(raw).groupBy(*POOL_KEYS).agg(F.sum("pre_tax_cost").cast("double").alias("cost"))  # decimal lines add up exactly
 
 
 def pool_frame(tables: dict[str, DataFrame], eras: Eras = Eras(), levels: Sequence[str] | None = None, check: bool = True) -> DataFrame:
@@ -69,7 +69,7 @@ def frame_1b(tables: dict[str, DataFrame], eras: Eras = Eras(), check: bool = Tr
     if check:
         checks.assert_partition(raw, [raw.where("pool_name IS NOT NULL"), gate.non_pool(raw)], "pre_tax_cost", "pool and non-pool")
     keys = ["subscription_id", "segment"]
-    daily = rest.dropna(subset=["run_date", *keys]).groupBy("run_date", *keys).agg(F.sum("pre_tax_cost").alias("cost"), F.count("*").alias("line_count"))
+    daily = rest.dropna(subset=["run_date", *keys]).groupBy("run_date", *keys).agg(F.sum("pre_tax_cost").cast("double").alias("cost"), F.count("*").alias("line_count"))
     g = gate.build_gate(tables["run_status"])
     out = factory.pad_daily(daily, keys, ["cost", "line_count"], gate=g, shared=True)
     out = gate.apply_gate(gate.stamp_regime(out, eras), g, eras.gated)
@@ -99,7 +99,7 @@ def frame_2(tables: dict[str, DataFrame], eras: Eras = Eras(), levels: Sequence[
     teams = per.select("job_team").distinct()
     grid = days.crossJoin(F.broadcast(teams)) if teams.limit(10_001).count() <= 10_000 else days.crossJoin(teams)  # the result itself is days x teams
     out = grid.join(per.select("run_date", "job_team", "cost"), ["run_date", "job_team"], "left")
-    out = out.withColumn("padded", F.col("cost").isNull()).withColumn("cost", F.coalesce("cost", F.lit(0)))
+    out = out.withColumn("padded", F.col("cost").isNull()).withColumn("cost", F.coalesce(F.col("cost").cast("double"), F.lit(0.0)))
     if check:
         checks.assert_additive(out, per, "run_date", "cost", "team grid")
     labelled = tables["job_cost"].withColumn("job_team", scalars.team_key())

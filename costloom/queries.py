@@ -511,27 +511,97 @@ def _(spark, sf_dir):
 # Frames: the pool skeleton against SQL; the full ones for their rows.
 
 
-@query("frm1_pool_frame", ["raw_cost", "job_usage", "job_cost", "run_status"], JOINED.replace("SELECT u.*,", f"SELECT u.* REPLACE (coalesce(u.batch_account_name, '__NULL_BATCH__') AS batch_account_name),") + EVENTS.replace("FROM job_usage", "FROM attributed") + GATE + f""", act AS (SELECT {POOL}, sum(job_seconds) AS job_seconds, cast(sum(task_count) AS bigint) AS task_count FROM attributed GROUP BY {POOL}),
+SHARES = [f"share_{v}" for v in LEVELS]
+POOL_SQL = JOINED.replace("SELECT u.*,", "SELECT u.* REPLACE (coalesce(u.batch_account_name, '__NULL_BATCH__') AS batch_account_name),") + EVENTS.replace("FROM job_usage", "FROM attributed") + GATE + f""", act AS (SELECT {POOL}, sum(job_seconds) AS job_seconds, cast(sum(task_count) AS bigint) AS task_count FROM attributed GROUP BY {POOL}),
   mix AS (SELECT {POOL}, count(*) AS n_jobs, max(job_seconds) / nullif(sum(job_seconds), 0) AS largest_job_share, {MIX} FROM attributed GROUP BY {POOL}),
-  f AS (SELECT c.*, job_seconds, task_count, peak_concurrency, mean_concurrency, n_jobs, largest_job_share, {', '.join(f'share_{v}' for v in LEVELS)}, {REGIME} AS data_regime, gate_complete, {STATE} AS gate_state FROM ({POOL_COST}) c LEFT JOIN act USING ({POOL}) LEFT JOIN conc USING ({POOL}) LEFT JOIN mix USING ({POOL}) LEFT JOIN gate USING (run_date, subscription_id))
-  SELECT {POOL}, {d6('cost')} AS cost, {d6('job_seconds')} AS job_seconds, task_count, cast(peak_concurrency AS bigint) AS peak_concurrency, {d6('mean_concurrency')} AS mean_concurrency, n_jobs, {d6('largest_job_share')} AS largest_job_share, {', '.join(f'share_{v}' for v in LEVELS)}, data_regime, gate_complete, gate_state FROM f WHERE gate_state <> 'gated_failed'""")
+  f0 AS (SELECT {POOL}, cast(c.cost AS double) AS cost, job_seconds, task_count, cast(peak_concurrency AS bigint) AS peak_concurrency, mean_concurrency, n_jobs, largest_job_share, {', '.join(SHARES)}, {REGIME} AS data_regime, gate_complete, {STATE} AS gate_state FROM ({POOL_COST}) c LEFT JOIN act USING ({POOL}) LEFT JOIN conc USING ({POOL}) LEFT JOIN mix USING ({POOL}) LEFT JOIN gate USING (run_date, subscription_id)),
+  f AS (SELECT * FROM f0 WHERE gate_state <> 'gated_failed')"""
+REALS = ["cost", "job_seconds", "mean_concurrency", "largest_job_share"]
+
+
+def d6_all(cols: list[str]) -> str:
+    return ", ".join(f"{d6(c)} AS {c}" for c in cols)
+
+
+def calendar_sql(d: str = "run_date") -> str:
+    return f"""cast(isodow({d}) - 1 AS bigint) AS dow, cast(day({d}) AS bigint) AS day_of_month, cast(month({d}) AS bigint) AS month, date_diff('day', {d}, last_day({d})) AS d_to_month_end,
+  date_diff('day', {d}, last_day(cast(date_trunc('quarter', {d}) + INTERVAL 2 MONTH AS date))) AS d_to_quarter_end, isodow({d}) >= 6 AS is_weekend"""
+
+
+def lags_sql(by: str, cols: dict[str, list[int]]) -> str:
+    return ", ".join(f"{d6(f'lag({c}, {k}) OVER (PARTITION BY {by} ORDER BY run_date)')} AS {c}_lag{k}" for c, ks in cols.items() for k in ks)
+
+
+def roll_sql(by: str, c: str, n: int) -> str:
+    w = f"(PARTITION BY {by} ORDER BY run_date ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)"
+    return f"{d6(f'CASE WHEN count({c}) OVER {w} >= {n} THEN avg({c}) OVER {w} END')} AS {c}_roll{n}"
+
+
+def drift_sql(source: str, keys: str, meter: str = "meter") -> str:
+    """CTEs up to drift (run_date, keys, effective_price_drift)."""
+    on = f"{keys}, {meter}"
+    w = lambda lo, hi: f"(PARTITION BY {on} ORDER BY n RANGE BETWEEN {-lo} PRECEDING AND {'CURRENT ROW' if hi == 0 else f'{-hi} PRECEDING'})"
+    return f""", dp AS (SELECT run_date, {on}, cast(sum(pre_tax_cost) AS double) AS c, sum(usage_quantity) AS u FROM {source} WHERE usage_quantity > 0 AND pre_tax_cost > 0 GROUP BY ALL),
+  de AS (SELECT {on}, min(run_date) AS lo, max(run_date) AS hi FROM dp GROUP BY ALL),
+  ds AS (SELECT {on}, cast(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS date) AS run_date FROM de),
+  dx AS (SELECT ds.*, c, c / u AS p, date_diff('day', DATE '1970-01-01', ds.run_date) AS n FROM ds LEFT JOIN dp USING ({on}, run_date)),
+  dw AS (SELECT run_date, {keys}, CASE WHEN count(p) OVER {w(-13, 0)} >= 7 AND count(p) OVER {w(-41, -14)} >= 14 THEN ln(avg(p) OVER {w(-13, 0)} / avg(p) OVER {w(-41, -14)}) END AS d, coalesce(sum(c) OVER {w(-27, 0)}, 0) AS w FROM dx),
+  drift AS (SELECT run_date, {keys}, CASE WHEN sum(w) > 0 THEN sum(d * w) / sum(w) END AS effective_price_drift FROM dw WHERE d IS NOT NULL GROUP BY ALL)"""
+
+
+ENV = "subscription_name, environment_tier, environment_sub_tier, CASE WHEN subscription_name LIKE '%weu%' THEN 'westeurope' WHEN subscription_name LIKE '%neu%' THEN 'northeurope' ELSE 'unknown' END AS region"
+
+
+@query("frm1_pool_frame", ["raw_cost", "job_usage", "job_cost", "run_status"], POOL_SQL + f" SELECT {POOL}, {d6_all(REALS)}, task_count, peak_concurrency, n_jobs, {', '.join(SHARES)}, data_regime, gate_complete, gate_state FROM f")
 def _(t):
     return rounded(frames.pool_frame(t, ERAS, LEVELS, check=False))
 
 
-@query("frm3_frame_1a", ["raw_cost", "job_usage", "job_cost", "run_status", "environment_config"])
+BY = "subscription_id, batch_account_name, pool_name"
+_PADDED = ", ".join([f"CASE WHEN f.cost IS NULL THEN 0 ELSE {c} END AS {c}" for c in ("cost", "job_seconds", "task_count", "n_jobs")])
+
+
+@query("frm3_frame_1a", ["raw_cost", "job_usage", "job_cost", "run_status", "environment_config"], POOL_SQL + drift_sql(SLICE, BY) + f""", ends AS (SELECT {BY}, min(run_date) AS lo, max(run_date) AS hi FROM f GROUP BY ALL),
+  spine AS (SELECT {BY}, cast(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS date) AS run_date FROM ends),
+  p0 AS (SELECT {POOL}, {_PADDED}, peak_concurrency, mean_concurrency, largest_job_share, {', '.join(SHARES)}, f.gate_complete, f.cost IS NULL AS padded, {REGIME} AS data_regime, coalesce(f.gate_state, 'gated_complete') AS gate_state
+    FROM spine LEFT JOIN f USING ({POOL}) LEFT JOIN (SELECT run_date, subscription_id, gate_complete AS g FROM gate) USING (run_date, subscription_id) WHERE f.cost IS NOT NULL OR coalesce(g, false)),
+  p1 AS (SELECT * FROM p0 LEFT JOIN drift USING ({POOL}) WHERE NOT padded OR data_regime = 'featured_gated')
+  SELECT {POOL}, {d6_all(REALS)}, cast(task_count AS bigint) AS task_count, peak_concurrency, cast(n_jobs AS bigint) AS n_jobs, {', '.join(SHARES)}, data_regime, gate_complete, gate_state, padded, {d6('effective_price_drift')} AS effective_price_drift,
+  {lags_sql(BY, {'cost': [1, 7], 'job_seconds': [1], 'mean_concurrency': [1], 'largest_job_share': [1], 'effective_price_drift': [1], **{c: [1] for c in SHARES}})},
+  {', '.join(f'cast(lag({c}) OVER (PARTITION BY {BY} ORDER BY run_date) AS bigint) AS {c}_lag1' for c in ('task_count', 'peak_concurrency', 'n_jobs'))},
+  {roll_sql(BY, 'cost', 28)}, {roll_sql(BY, 'job_seconds', 7)}, {calendar_sql()}, run_date >= DATE '{ERAS.post_glide}' AS post_glide, {ENV} FROM p1 LEFT JOIN environment_config USING (subscription_id)""")
 def _(t):
-    return frames.frame_1a(t, ERAS, LEVELS, check=False).df
+    return rounded(frames.frame_1a(t, ERAS, LEVELS, check=False).df)
+
+
+SEG = "subscription_id, segment"
 
 
-@query("frm4_frame_1b", ["raw_cost", "run_status", "environment_config"])
+@query("frm4_frame_1b", ["raw_cost", "run_status", "environment_config"], GATE + f""", rest AS (SELECT *, {SEGMENT} AS segment FROM raw_cost WHERE pool_name IS NULL),
+  b0 AS (SELECT run_date, {SEG}, cast(sum(pre_tax_cost) AS double) AS c, count(*) AS n FROM rest GROUP BY ALL),
+  spine AS (SELECT {SEG}, cast(unnest(generate_series((SELECT min(run_date) FROM b0), (SELECT max(run_date) FROM b0), INTERVAL 1 DAY)) AS date) AS run_date FROM (SELECT DISTINCT {SEG} FROM b0)),
+  b1 AS (SELECT run_date, {SEG}, coalesce(c, 0) AS cost, coalesce(n, 0) AS line_count, c IS NULL AS padded, {REGIME} AS data_regime, gate_complete, {STATE} AS gate_state FROM spine LEFT JOIN b0 USING (run_date, {SEG}) LEFT JOIN gate USING (run_date, subscription_id) WHERE c IS NOT NULL OR coalesce(gate_complete, false))"""
+  + drift_sql("rest", SEG) + f""", b2 AS (SELECT * FROM b1 LEFT JOIN drift USING (run_date, {SEG}) WHERE gate_state <> 'gated_failed')
+  SELECT run_date, {SEG}, {d6('cost')} AS cost, line_count, padded, data_regime, gate_complete, gate_state, {d6('effective_price_drift')} AS effective_price_drift, {lags_sql(SEG, {'cost': [1, 7], 'effective_price_drift': [1]})},
+  cast(lag(line_count) OVER (PARTITION BY {SEG} ORDER BY run_date) AS bigint) AS line_count_lag1, {roll_sql(SEG, 'cost', 7)}, {roll_sql(SEG, 'cost', 28)}, {calendar_sql()}, run_date >= DATE '{ERAS.post_glide}' AS post_glide, {ENV} FROM b2 LEFT JOIN environment_config USING (subscription_id)""")
 def _(t):
-    return frames.frame_1b(t, ERAS, check=False).df
+    return rounded(frames.frame_1b(t, ERAS, check=False).df)
+
+
+TEAM_JOINED = JOINED.replace("FROM job_cost)", f"FROM (SELECT * REPLACE ({TEAM} AS job_team) FROM job_cost))")
+LOW_MIX = ", ".join(f"coalesce({_share_sql(v)}, 0) AS share_{v.lower()}" for v in LEVELS)
+TEAM_NUM = ["job_seconds", "task_count", "n_jobs", "largest_job_share", *(f"share_{v.lower()}" for v in LEVELS)]
 
 
-@query("frm5_frame_2", ["job_usage", "job_cost", "run_status"])
+@query("frm5_frame_2", ["job_usage", "job_cost", "run_status"], TEAM_DAYS + TEAM_JOINED + f""", days AS (SELECT run_date, max(coalesce(unknown_pct, 0)) AS unknown_pct, bool_and(fully_gated) AS fully_gated FROM teams GROUP BY 1),
+  am AS (SELECT run_date, job_team, sum(job_seconds) AS job_seconds, cast(sum(task_count) AS bigint) AS task_count, count(*) AS n_jobs, coalesce(max(job_seconds) / nullif(sum(job_seconds), 0), 0) AS largest_job_share, {LOW_MIX} FROM attributed GROUP BY 1, 2),
+  g2 AS (SELECT run_date, job_team, unknown_pct, fully_gated, coalesce(cast(cost AS double), 0) AS cost, cost IS NULL AS padded, {', '.join(f'coalesce(am.{c}, 0) AS {c}' for c in TEAM_NUM)}
+    FROM days CROSS JOIN (SELECT DISTINCT job_team FROM teams) k LEFT JOIN (SELECT run_date, job_team, cost FROM teams) USING (run_date, job_team) LEFT JOIN am USING (run_date, job_team))
+  SELECT run_date, job_team, fully_gated, padded, {d6_all(['cost', 'unknown_pct', *(c for c in TEAM_NUM if c not in ('task_count', 'n_jobs'))])}, cast(task_count AS bigint) AS task_count, cast(n_jobs AS bigint) AS n_jobs,
+  {lags_sql('job_team', {'cost': [1, 7], 'unknown_pct': [1], **{c: [1] for c in TEAM_NUM if c not in ('task_count', 'n_jobs')}})}, {', '.join(f'cast(lag({c}) OVER (PARTITION BY job_team ORDER BY run_date) AS bigint) AS {c}_lag1' for c in ('task_count', 'n_jobs'))},
+  {roll_sql('job_team', 'cost', 28)}, {calendar_sql()}, CASE WHEN fully_gated THEN 'gated_complete' ELSE 'ungated' END AS gate_state, {REGIME} AS data_regime FROM g2""")
 def _(t):
-    return frames.frame_2(t, ERAS, LEVELS, check=False).df
+    return rounded(frames.frame_2(t, ERAS, LEVELS, check=False).df)
 
 
 @query("ml7_conformal_ledger", ["raw_cost"])
