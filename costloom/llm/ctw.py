@@ -28,10 +28,10 @@ from .common import Words, crc_mod, steps, stored
 
 DEPTH = 6
 SHARE = 2.0**-16
-#: Tokens that are at least this share of all training tokens, so 2^19 at most, are looked up in a broadcast; others are joined.
-HEAVY = 2.0**-19
+#: Tokens that are at least this share of all training tokens, so 2^20 at most, are looked up in a broadcast; others are joined.
+HEAVY = 2.0**-20
 #: Distinct keys a task gathers before it hands them on.
-FLUSH = 2_000_000
+FLUSH = 1_000_000
 END, GAP = 10, 32
 
 
