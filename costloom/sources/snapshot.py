@@ -135,8 +135,11 @@ def read_json(spark: SparkSession, path: str) -> object:
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         raise FileNotFoundError(path)
-    rows = spark.read.text(path, wholetext=True).collect()
-    return json.loads(rows[0][0])
+    stream = fs.open(p)  # Spark's readers skip names that begin with an underscore
+    try:
+        return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
 
 
 def write_frames(frames: Mapping[str, DataFrame], out: str, mode: str = "overwrite") -> None:
