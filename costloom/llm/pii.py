@@ -8,7 +8,7 @@ length and a valid check digit, a date stays a date (of the 400 years from 1700)
 Formats are strings of digits, small and large letters, or numbers below a fixed product a * b; both are halves of a
 Feistel network whose round function is SHA-256 of key, kind, round and the other half.
 
-Everything is SQL expressions in one projection; texts without a digit or @ are passed through untouched. Defined results:
+Everything is SQL expressions in one projection; texts without a digit, @ or the words before a secret are passed through untouched. Defined results:
 null and empty texts stay as they are; values that fail their check stay; a document's other columns are kept;
 repeated rows change alike.
 """
@@ -29,6 +29,8 @@ KINDS = {
     "card": r"(?<![\w])\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?!\w)",
 }
 _ANY = "|".join(KINDS.values())
+#: What a text with a value of any kind holds; secrets may be letters alone.
+SOME = r"""[0-9@]|(?i:token = "|password=|secret=|api_key=)|AKIA"""
 #: Days from 1700-01-01 that dates are permuted in: 400 years, 189 * 773.
 _DAYS = (189, 773)
 
@@ -116,7 +118,7 @@ def pseudonymised(docs: DataFrame, key: str, text: str = "text", back: bool = Fa
     found = f"regexp_extract_all({t}, {any_}, 0)"
     apart = f"split({t}, {any_}, -1)"
     # texts without a value need no look at each character's surroundings
-    some = rf"{t} RLIKE '[0-9]|@'"
+    some = f"{t} RLIKE {_lit(SOME)}"
     out = docs.withColumn("_v", F.expr(f"CASE WHEN {some} THEN {found} END"))
     out = out.withColumn("_n", F.expr(f"transform(_v, v -> {pseudonym('v', key, back)})"))
     whole = f"CASE WHEN size(_v) > 0 THEN array_join(zip_with({apart}, _n, (s, v) -> concat(s, coalesce(v, ''))), '') ELSE {t} END"

@@ -133,6 +133,18 @@ def test_pseudonyms_keep_formats_and_turn_back(spark):
     assert pii.pseudonymised(df, "other").where("doc_id = 1").first().text != t
 
 
+def test_secrets_of_letters_alone(spark):
+    """In a text with neither digit nor @, and as in a text that has them."""
+    secrets = ["password=CorrectHorse", "Secret=battery" + "staple", "api_key=abcdefghij", 'TOKEN = "ABCDefgh"', "AKIA" + "ABCDEFGHIJKLMNOP"]
+    df = spark.createDataFrame([(2 * i + k, s + tail) for i, s in enumerate(secrets) for k, tail in enumerate((" is here", " is here, 7"))], "doc_id long, text string")
+    out = pii.pseudonymised(df, "k")
+    got = {r.doc_id: r for r in out.collect()}
+    for i, s in enumerate(secrets):
+        assert s not in got[2 * i].text and got[2 * i].n_values == 1
+        assert got[2 * i + 1].text == got[2 * i].text + ", 7"
+    assert {r.doc_id: r.text for r in pii.pseudonymised(out.drop("n_values"), "k", back=True).collect()} == {r.doc_id: r.text for r in df.collect()}
+
+
 def test_pseudonyms_are_a_permutation(spark):
     """All dates of some years, and all two-digit strings, go to different values of the same kind."""
     n = spark.range(5000).select(F.expr(pii.number_permuted("id", 189, 773, "k", "date")).alias("x"))
