@@ -6,7 +6,7 @@ one's docs. All but the last return the columns of documents; the last adds topi
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from costloom.llm import decontaminate, mixing, neardup, pii, quality
@@ -17,22 +17,41 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 KEY = "costloom-pipeline-key"
 
 
+def _row(*names: str) -> Column:
+    """A hash of these columns that tells null from empty: the key of a row's own verdict, whatever other rows share its doc_id."""
+    return F.xxhash64(*names, *(F.col(c).isNull() for c in names))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go."""
-    good = quality.judged(docs).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(good, docs["doc_id"].eqNullSafe(good["_id"]), "left_semi").select(COLUMNS)
+    key = _row("doc_id", "text", "lang")
+    good = quality.judged(docs.withColumn("doc_id", key)).where("kept").select(F.col("doc_id").alias("_id")).distinct()
+    return docs.withColumn("_key", key).join(good, F.col("_key") == F.col("_id"), "left_semi").select(COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one of smallest id: five-word shingles, similarity 0.8."""
-    gone = neardup.near_duplicates(docs, width=5, num=80, den=100).where("NOT kept").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_id"], "left_anti").select(COLUMNS)
+    """One document of each group stays, the one of smallest id: five-word shingles, similarity 0.8.
+
+    Different texts of one doc_id are documents of their own, the one of smaller hash first. Rows without a doc_id stay.
+    """
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("_h")).where("doc_id IS NOT NULL")
+    ids = stored(own.select("doc_id", "_h").distinct())
+    if not ids.groupBy("doc_id").count().where("count > 1").limit(1).count():
+        gone = neardup.near_duplicates(docs, width=5, num=80, den=100).where("NOT kept").select(F.col("doc_id").alias("_id")).distinct()
+        return docs.join(gone, docs["doc_id"] == gone["_id"], "left_anti").select(COLUMNS)
+    # numbers in the order of the ids, one for each text of an id
+    ranks = stored(ids.orderBy("doc_id", "_h").select(F.col("doc_id").alias("_id"), F.col("_h").alias("_g"), F.monotonically_increasing_id().alias("_k")))
+    ranked = stored(own.join(ranks, (F.col("doc_id") == F.col("_id")) & (F.col("_h") == F.col("_g"))).select(F.col("_k").alias("doc_id"), "text"))
+    gone = neardup.near_duplicates(ranked, width=5, num=80, den=100).where("NOT kept").select(F.col("doc_id").alias("_k")).distinct()
+    gone = ranks.join(gone, "_k", "left_semi")
+    return docs.withColumn("_h", F.xxhash64("text")).join(gone, (F.col("doc_id") == F.col("_id")) & (F.col("_h") == F.col("_g")), "left_anti").select(COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a benchmark passage go."""
-    found = decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["_id"]), "left_anti").select(COLUMNS)
+    key = _row("doc_id", "text")
+    found = decontaminate.decontaminated(docs.withColumn("doc_id", key), table(spark, sf_dir, "benchmark")).where("contaminated").select(F.col("doc_id").alias("_id")).distinct()
+    return docs.withColumn("_key", key).join(found, F.col("_key") == F.col("_id"), "left_anti").select(COLUMNS)
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -230,3 +230,19 @@ def test_pipeline_on_odd_rows(spark):
     for df in (odd, odd.limit(0)):
         for _, stage in corpus_pipeline.STAGES:
             assert stage(spark, df, SF).count() <= 4
+
+
+def test_pipeline_judges_rows_that_share_an_id(spark):
+    """Each of several null-id rows, and of different texts of one id, has its own verdict in each stage."""
+    kind = "doc_id long, text string, lang string, source string, n_chars long"
+    rng = np.random.default_rng(1)
+    prose = [" ".join(rng.permutation([w for r in spark.read.parquet(f"{SF}/documents.parquet").where("lang = 'en'").limit(20).collect() for w in (r.text or "").split()])[:120].tolist()) for _ in range(5)]
+    frame = lambda rows: spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], kind)
+    left = lambda stage, rows: sorted(((r.doc_id is None, r.doc_id or 0), r.text) for r in stage(spark, frame(rows), SF).collect())
+    want = lambda rows: sorted(((i is None, i or 0), t) for i, t in rows)
+    good = [(None, prose[0]), (None, prose[1]), (7, prose[2])]
+    assert left(corpus_pipeline.quality_rules, good + [(None, prose[3][:60]), (7, prose[4][:60])]) == want(good)
+    passage = next(r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect() if len((r.text or "").split()) >= 10)
+    assert left(corpus_pipeline.decontamination, good + [(None, passage), (7, passage + " x")]) == want(good)
+    copies = [(1, prose[3]), (7, prose[3] + " end"), (9, prose[2] + " end"), (None, prose[3]), (None, prose[4])]
+    assert left(corpus_pipeline.near_dedup, good + copies) == want(good + [copies[0], *copies[3:]])
