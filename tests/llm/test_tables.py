@@ -96,6 +96,27 @@ def test_raking_meets_targets(spark):
     assert np.allclose(got.groupby("topic").weight.sum(), 0.5, atol=1e-6)
 
 
+@pytest.mark.parametrize("local", [1_000_000, 0])
+def test_raking_of_correlated_and_sparse_cells(spark, monkeypatch, local):
+    """Each source almost wholly in one language, and cells that are missing: the marginals still meet their targets, on the driver and as DataFrames."""
+    monkeypatch.setattr(mixing, "LOCAL_CELLS", local)
+    few = 1e-3 if local else 0.1
+    cells = [(f"s{i}", f"l{j}", t, int(1e6 * (1 if i % 4 == j else few) * (1 + i))) for i in range(8) for j in range(4) for t in "pq" if not (i == 5 and t == "q")]
+    df = spark.createDataFrame(cells, "source string, lang string, topic string, tokens long")
+    targets = {"source": 0.7, "lang": {"l0": 0.4, "l1": 0.1}, "topic": 0.0}
+    got = mixing.raked(df, targets).toPandas()
+    for dim, target in targets.items():
+        goal = {r[dim]: r.goal for r in mixing._shares(df, dim, target).collect()}
+        for value, weight in got.groupby(dim).weight.sum().items():
+            assert abs(weight / goal[value] - 1) <= mixing.TOLERANCE * 1.01, (dim, value)
+
+
+def test_raking_reports_targets_that_cannot_be_met(spark, caplog):
+    df = spark.createDataFrame([("a", "x", "p", 5), ("b", "y", "p", 5)], "source string, lang string, topic string, tokens long")
+    mixing.raked(df, {"source": {"a": 0.5}, "lang": {"x": 0.3}, "topic": 1.0})
+    assert "largest relative deviation" in caplog.text
+
+
 def test_draw_of_odd_rows(spark):
     rows = [(1, "a b", None, None, 3, "t"), (1, "a b", None, None, 3, "t"), (2, None, "en", "s", 0, "t"), (None, "", "en", "s", 0, "t"), (3, "license text | x | y", "en", "s", 5, "t")]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, topic string")
