@@ -5,6 +5,11 @@ phone numbers, mail addresses and secrets by form) are permuted within their for
 in all documents, different values different ones, and who holds the key can turn them back. A card number keeps its
 length and a valid check digit, a date stays a date (of the 400 years from 1700), an address an address.
 
+Dates may stand before a time. Phones are numbers with a country code in common groupings or without separators, and ten
+digits as (ddd) ddd-dddd, ddd-ddd-dddd or ddd.ddd.dddd. Card numbers are 13 to 19 digits with single spaces or hyphens
+anywhere. Where further digit groups stand beside one, the leftmost and fewest whole groups with a valid sum are taken; there,
+if new digits by chance make other groups valid, the way back may fail.
+
 Formats are strings of digits, small and large letters, or numbers below a fixed product a * b; both are halves of a
 Feistel network whose round function is SHA-256 of key, kind, round and the other half.
 
@@ -19,15 +24,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 8
+#: Stands before a changed card number until it is counted: no run of digit groups holds it.
+MARK = "#"
 #: Kinds of value and their patterns, tried in this order at each place of a text. Dates are ISO dates.
 KINDS = {
     "secret": r"""(?i:\btoken = "|\bpassword=|\bsecret=|\bapi_key=)[0-9A-Za-z]{8,}|\bAKIA[0-9A-Z]{16}\b""",
     "mail": r"[A-Za-z0-9][A-Za-z0-9._+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
-    "phone": r"(?<!\w)\+\d{1,3} \(\d{3}\) \d{3}-\d{4}(?!\d)",
-    "date": r"(?<![\w.-])(?:1[7-9]|20)\d\d-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01])(?![\w-])",
+    "phone": r"(?<!\w)\+\d{1,3} \(\d{3}\) \d{3}-\d{4}(?!\d)"
+    r"|(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\w|[.-]\d)"
+    r"|(?<![\w+])\+\d{1,3}[ .-](?:\d{2}[ .-]\d{4}[ .-]\d{4}|\d{4}[ .-]\d{6}|\d(?:[ .-]\d{2}){4})(?!\w|[.-]\d)"
+    r"|(?<![\w+])\+\d{8,15}(?!\w|[.-]\d)"
+    r"|(?<![\w)])\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\w|[.-]\d)"
+    r"|(?<![\w.+-])\d{3}[.-]\d{3}[.-]\d{4}(?!\w|[ .-]\d)",
+    "date": r"(?<![\w.-])(?:1[7-9]|20)\d\d-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01])(?:(?![\w-])|(?=[Tt]\d\d))",
     "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d)",
-    "card": r"(?<![\w])\d{4}(?:[ -]?\d{4}){2}[ -]?\d{1,7}(?!\w)",
 }
+#: Groups of digits with one space or hyphen between them, 13 digits in all at least, up to what is of another kind. The cards in them are found by their sums.
+KINDS["card"] = rf"(?<!\w)(?=\d(?:[ -]?\d){{12}})\d++(?!\w)(?:[ -](?!{KINDS['mail']}|{KINDS['phone']}|{KINDS['date']}|{KINDS['ip']})\d++(?!\w))*+"
 _ANY = "|".join(KINDS.values())
 #: What a text with a value of any kind holds; secrets may be letters alone.
 SOME = r"""[0-9@]|(?i:token = "|password=|secret=|api_key=)|AKIA"""
@@ -88,26 +101,32 @@ def _refilled(shape: str, digits: str) -> str:
 
 
 def pseudonym(v: str, key: str, back: bool = False) -> str:
-    """SQL: the pseudonym of a value v that one of KINDS has matched; v itself if its check fails."""
+    """SQL: the pseudonym of a value v that one of KINDS has matched; v itself if its check fails. MARK stands before each card number that has changed."""
     mail = f"concat({text_permuted(f'''substring_index({v}, '@', 1)''', key, 'mail', back)}, '@', substring_index({v}, '@', -1))"
     # secrets: all after the word and sign in front of them
     head = f"regexp_extract({v}, '^(AKIA|[A-Za-z_]+ ?= ?\"?)', 1)"
     secret = f"concat({head}, {text_permuted(f'substr({v}, length({head}) + 1)', key, 'secret', back)})"
-    national = f"regexp_replace(substring_index({v}, '(', -1), '[^0-9]', '')"
-    phone = f"concat(substring_index({v}, '(', 1), {_refilled(f'''concat('(', substring_index({v}, '(', -1))''', 'd')})"
-    phone = f"transform(array({text_permuted(national, key, 'phone', back)}), d -> {phone})[0]"
+    # the last ten digits, or all but the first where there are fewer
+    number = f"regexp_replace({v}, '[^0-9]', '')"
+    kept = f"cast(greatest(length({number}) - 10, if({v} LIKE '+%', 1, 0)) AS int)"
+    national = f"transform(array(substr({number}, {kept} + 1)), m -> {text_permuted('m', key, 'phone', back)})[0]"
+    phone = f"transform(array(concat(substr({number}, 1, {kept}), {national})), d -> {_refilled(v, 'd')})[0]"
     day = f"datediff(try_cast({v} AS date), DATE'1700-01-01')"
     date = f"if(try_cast({v} AS date) IS NULL, {v}, date_format(date_add(DATE'1700-01-01', cast({number_permuted(day, *_DAYS, key, 'date', back)} AS int)), 'yyyy-MM-dd'))"
     octets = f"aggregate(split({v}, '[.]'), 0L, (s, o) -> s * 256 + cast(o AS bigint))"
     ip = f"transform(array({number_permuted(octets, 65536, 65536, key, 'ip', back)}), n -> concat_ws('.', cast(n DIV 16777216 AS string), cast((n DIV 65536) % 256 AS string), cast((n DIV 256) % 256 AS string), cast(n % 256 AS string)))[0]"
     # of a card number all but the check digit is permuted; the check digit follows
-    pan = f"regexp_replace({v}, '[^0-9]', '')"
     body = text_permuted("substr(n, 1, length(n) - 1)", key, "card", back)
     check = f"cast(pmod(10 - {luhn_sum('''concat(p, '0')''')} % 10, 10) AS string)"
-    card = f"""transform(array({pan}), n -> if(length(n) BETWEEN 13 AND 19 AND {luhn_sum('n')} % 10 = 0,
-        transform(transform(array({body}), p -> concat(p, {check})), d -> {_refilled(v, 'd')})[0], {v}))[0]"""
+    one = f"""transform(transform(transform(array(regexp_replace(u, '[^0-9]', '')), n -> {body}), p -> concat(p, {check})), d -> {_refilled('u', 'd')})[0]"""
+    # from the left, the fewest whole groups with the length and the sum of a card are one
+    valid = f"transform(array(array_join(transform(slice(g, f, j - f + 1), w -> regexp_replace(w, '[^0-9]', '')), '')), n -> if(length(n) BETWEEN 13 AND 19, {luhn_sum('n')} % 10 = 0, false))[0]"
+    ends = f"filter(sequence(f, least(f + 18, size(g))), j -> {valid})"
+    card = f"""transform(array(regexp_extract_all({v}, '[0-9]+[ -]?', 0)), g -> aggregate(sequence(1, size(g)), named_struct('s', '', 'k', 1),
+        (z, f) -> if(f < z.k, z, transform(array(get({ends}, 0)), e -> if(e IS NULL, named_struct('s', concat(z.s, g[f - 1]), 'k', f + 1),
+            named_struct('s', concat(z.s, '{MARK}', transform(array(array_join(slice(g, f, e - f + 1), '')), u -> {one})[0]), 'k', e + 1)))[0]), z -> z.s))[0]"""
     return f"""CASE WHEN {v} RLIKE {_lit('^(?:' + KINDS['secret'] + ')$')} THEN {secret} WHEN instr({v}, '@') > 0 THEN {mail}
-        WHEN {v} LIKE '+%' THEN {phone} WHEN {v} RLIKE '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$' THEN {date}
+        WHEN {v} RLIKE '^(?:[+(].*|[0-9]{{3}}[.-][0-9]{{3}}[.-][0-9]{{4}})$' THEN {phone} WHEN {v} RLIKE '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$' THEN {date}
         WHEN instr({v}, '.') > 0 THEN {ip} ELSE {card} END"""
 
 
@@ -120,7 +139,10 @@ def pseudonymised(docs: DataFrame, key: str, text: str = "text", back: bool = Fa
     # texts without a value need no look at each character's surroundings
     some = f"{t} RLIKE {_lit(SOME)}"
     out = docs.withColumn("_v", F.expr(f"CASE WHEN {some} THEN {found} END"))
-    out = out.withColumn("_n", F.expr(f"transform(_v, v -> {pseudonym('v', key, back)})"))
+    out = out.withColumn("_m", F.expr(f"transform(_v, v -> {pseudonym('v', key, back)})"))
+    run = f"v RLIKE '^[0-9]' AND instr(n, '{MARK}') > 0"
+    out = out.withColumn("_n", F.expr(f"zip_with(_v, _m, (v, n) -> if({run}, replace(n, '{MARK}', ''), n))"))
     whole = f"CASE WHEN size(_v) > 0 THEN array_join(zip_with({apart}, _n, (s, v) -> concat(s, coalesce(v, ''))), '') ELSE {t} END"
-    changed = "coalesce(size(filter(zip_with(_v, _n, (v, n) -> v <> n), x -> x)), 0)"
-    return out.withColumn(text, F.expr(whole)).withColumn("n_values", F.expr(f"cast(greatest({changed}, 0) AS bigint)")).drop("_v", "_n")
+    # one run of digit groups may hold several cards
+    changed = f"coalesce(aggregate(zip_with(_v, _m, (v, n) -> if({run}, length(n) - length(replace(n, '{MARK}', '')), if(v <> n, 1, 0))), 0, (a, x) -> a + x), 0)"
+    return out.withColumn(text, F.expr(whole)).withColumn("n_values", F.expr(f"cast(greatest({changed}, 0) AS bigint)")).drop("_v", "_m", "_n")

@@ -166,6 +166,27 @@ def test_secrets_of_letters_alone(spark):
     assert {r.doc_id: r.text for r in pii.pseudonymised(out.drop("n_values"), "k", back=True).collect()} == {r.doc_id: r.text for r in df.collect()}
 
 
+def test_common_forms_are_replaced(spark):
+    """Dates before a time, cards in any grouping and beside other values, and phones as they are usually written."""
+    gone = {
+        "at 2024-01-15T10:00:00Z": ["2024-01-15"], "at 2024-01-15t10": ["2024-01-15"], "amex 3782 822463 10005.": ["3782 822463 10005"], "37828-2246310005": ["37828-2246310005"],
+        "5 4111 1111 1111 1111 123": ["4111 1111 1111 1111"], "4111 1111 1111 1111 4012 8888 8888 1881": ["4111 1111 1111 1111", "4012 8888 8888 1881"],
+        "4111 1111 1111 1111 2024-01-15": ["4111 1111 1111 1111", "2024-01-15"], "4111111111111111 10.1.2.3": ["4111111111111111", "10.1.2.3"], "4111111111111111 7th": ["4111111111111111"],
+        "+1 555-123-4567": ["555-123-4567"], "(555) 123-4567": ["(555) 123-4567"], "555-123-4567": ["555-123-4567"], "555.123.4567": ["555.123.4567"], "+15551234567": ["5551234567"], "+44 20 7946 0958": ["7946 0958"], "+1 (555) 123-4567": ["(555) 123-4567"],
+    }
+    stay = ["2024-01-15x", "4111 1111 1111 1112", "123 456 7890", "1-2-3", "12345678901234567890", "item #12"]
+    df = spark.createDataFrame(list(enumerate([*gone, *stay])), "doc_id long, text string")
+    out = pii.pseudonymised(df, "k")
+    got = {r.doc_id: r for r in out.collect()}
+    for i, (t, values) in enumerate(gone.items()):
+        assert not [v for v in values if v in got[i].text] and got[i].n_values == len(values), (t, got[i])
+        assert re.sub(r"\d+", "0", got[i].text) == re.sub(r"\d+", "0", t)
+    assert [got[len(gone) + i].text for i in range(len(stay))] == stay
+    phones = {re.sub(r"\D", "", got[i].text)[-10:] for i, t in enumerate(gone) if re.sub(r"\D", "", t)[-10:] == "5551234567"}
+    assert len(phones) == 1
+    assert {r.doc_id: r.text for r in pii.pseudonymised(out.drop("n_values"), "k", back=True).collect()} == {r.doc_id: r.text for r in df.collect()}
+
+
 def test_pseudonyms_are_a_permutation(spark):
     """All dates of some years, and all two-digit strings, go to different values of the same kind."""
     n = spark.range(5000).select(F.expr(pii.number_permuted("id", 189, 773, "k", "date")).alias("x"))
