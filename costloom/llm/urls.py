@@ -4,7 +4,9 @@ A rule names a host, all its subdomains with it, and a start of the path; the lo
 from URLs with known verdicts (here: those that rules decide) and read only the URL's letters: lengths, depth, digit
 share, character entropy, parameters, hyphens, labels, and how often the host's last labels are blocked.
 
-The trees are fitted on the driver to a bounded sample of labelled URLs (SAMPLE of smallest hash); every URL is judged.
+How often a suffix is blocked is counted over all distinct labelled URLs and joined to the URLs. The trees are fitted on the
+driver to a bounded sample of them: of each verdict the rows of smallest hash, a twentieth of SAMPLE at least where there
+are so many, weighted to stand for all of that verdict. Every URL is judged.
 
 Defined results: host and path are empty for null and for text without ://; no rule fits an empty host; a rule's path is a
 plain prefix; without labelled URLs, or with one verdict only, the rest get `allow` or that verdict; repeated rows are
@@ -21,9 +23,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
+
 #: (verdict, host/path)
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
 SAMPLE = 20_000
+#: Suffixes of up to so many rows are broadcast; more are joined by a shuffle.
+BROADCAST_ROWS = 100_000
 ROUNDS, LEAVES_DEPTH, RATE, BINS = 60, 3, 0.2, 32
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -44,10 +50,15 @@ def fitting(host: Column, path: Column, rules: Sequence[tuple[str, str]] = RULES
     return out
 
 
-def lexical(urls: list[str], rates: dict[str, float], base: float) -> np.ndarray:
-    """The features of each URL."""
+def suffixes(host: Column) -> tuple[Column, Column]:
+    """The last label of a host, and the last two."""
+    return F.substring_index(host, ".", -1), F.substring_index(host, ".", -2)
+
+
+def lexical(urls: list[str], rates: np.ndarray) -> np.ndarray:
+    """The features of each URL; rates: how often the host's last label, and its last two, are blocked."""
     out = np.zeros((len(urls), 12))
-    for row, u in zip(out, urls):
+    for row, u, (last, two) in zip(out, urls, rates):
         _, _, rest = u.partition("://")
         cut = min((i for i in map(rest.find, "/?#") if i >= 0), default=len(rest))
         host, tail = rest[:cut].lower(), rest[cut:]
@@ -65,8 +76,8 @@ def lexical(urls: list[str], rates: dict[str, float], base: float) -> np.ndarray
             tail.count("=") + tail.count("&"),
             host.count("-"),
             len(labels),
-            rates.get(labels[-1], base),
-            rates.get(".".join(labels[-2:]), base),
+            last,
+            two,
             sum(map(len, labels[:1])),
         )
     return out
@@ -75,15 +86,16 @@ def lexical(urls: list[str], rates: dict[str, float], base: float) -> np.ndarray
 class Trees:
     """Gradient-boosted trees for the log odds of `block`, on binned features."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray):
+    def __init__(self, x: np.ndarray, y: np.ndarray, w: np.ndarray):
+        """w: how many rows each one stands for."""
         self.edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, BINS + 1)[1:-1])) for j in range(x.shape[1])]
         b = self._bins(x)
-        p = np.clip(y.mean(), 1e-6, 1 - 1e-6)
+        p = np.clip(np.average(y, weights=w), 1e-6, 1 - 1e-6)
         self.bias, self.trees = float(np.log(p / (1 - p))), []
         f = np.full(len(y), self.bias)
         for _ in range(ROUNDS):
             prob = 1 / (1 + np.exp(-f))
-            tree, leaf = self._grow(b, y - prob, prob * (1 - prob))
+            tree, leaf = self._grow(b, w * (y - prob), w * prob * (1 - prob))
             self.trees.append(tree)
             f += tree[2][leaf]
 
@@ -129,29 +141,73 @@ class Trees:
 
 
 class UrlModel:
-    def __init__(self, labelled: list[tuple[str, int]]):
-        """labelled: (url, 1 if blocked)."""
+    def __init__(self, labelled: list[tuple[str, int]], rates: np.ndarray | None = None, base: float | None = None, weights: np.ndarray | None = None):
+        """labelled: (url, 1 if blocked). rates, base: of these and of all labelled URLs; without them, from these alone."""
         y = np.array([v for _, v in labelled], float)
-        self.base = float(y.mean()) if len(y) else 0.0
-        seen: dict[str, list] = {}
-        for u, v in labelled:
-            labels = u.partition("://")[2].split("/")[0].lower().split(".")
-            for s in {labels[-1], ".".join(labels[-2:])}:
-                seen.setdefault(s, []).append(v)
-        self.rates = {s: (sum(v) + self.base) / (len(v) + 1) for s, v in seen.items()}
-        self.trees = Trees(lexical([u for u, _ in labelled], self.rates, self.base), y) if 0 < self.base < 1 else None
-
-    def chance(self, urls: list[str]) -> np.ndarray:
+        self.base = base if base is not None else float(y.mean()) if len(y) else 0.0
+        self.own: dict[str, float] = {}
+        if rates is None:
+            seen: dict[str, list] = {}
+            for u, v in labelled:
+                for s in set(self._suffixes(u)):
+                    seen.setdefault(s, []).append(v)
+            self.own = {s: (sum(v) + self.base) / (len(v) + 1) for s, v in seen.items()}
+            rates = self._rates([u for u, _ in labelled])
+        weights = np.ones(len(y)) if weights is None else weights
+        self.trees = Trees(lexical([u for u, _ in labelled], rates), y, weights) if 0 < self.base < 1 else None
+
+    @staticmethod
+    def _suffixes(url: str) -> tuple[str, str]:
+        labels = url.partition("://")[2].split("/")[0].lower().split(".")
+        return labels[-1], ".".join(labels[-2:])
+
+    def _rates(self, urls: list[str]) -> np.ndarray:
+        return np.array([[self.own.get(s, self.base) for s in self._suffixes(u)] for u in urls]).reshape(-1, 2)
+
+    def chance(self, urls: list[str], rates: np.ndarray | None = None) -> np.ndarray:
         if self.trees is None or not urls:
             return np.full(len(urls), self.base)
-        return self.trees.chance(lexical(urls, self.rates, self.base))
+        return self.trees.chance(lexical(urls, self._rates(urls) if rates is None else rates))
+
+
+def rated(labelled: DataFrame) -> tuple[DataFrame, float]:
+    """(suffix, rate) over all of the labelled (url, host, v), stored; and the share that is blocked."""
+    ends = F.array_distinct(F.array(*suffixes(F.col("host"))))
+    n, blocked = labelled.agg(F.count("*"), F.sum("v")).first()
+    base = (blocked or 0) / n if n else 0.0
+    by = labelled.select(F.explode(ends).alias("suffix"), "v").groupBy("suffix").agg(F.sum("v").alias("b"), F.count("*").alias("n"))
+    return stored(by.select("suffix", ((F.col("b") + base) / (F.col("n") + 1)).alias("rate"))), base
+
+
+def with_rates(urls: DataFrame, rates: DataFrame, base: float) -> DataFrame:
+    """urls (with a host) and `r1`, `r2`, the rates of the host's last label and last two; the base rate where no labelled URL has them."""
+    near = F.broadcast(rates) if rates.count() <= BROADCAST_ROWS else rates
+    out = urls
+    for name, end in zip(("r1", "r2"), suffixes(F.col("host"))):
+        side = near.select(F.col("suffix").alias("_s"), F.col("rate").alias(name))
+        out = out.withColumn("_e", end).join(side, F.col("_e") == F.col("_s"), "left").drop("_s", "_e").withColumn(name, F.coalesce(name, F.lit(base)))
+    return out
+
+
+def sampled(labelled: DataFrame, size: int) -> list[tuple[DataFrame, float]]:
+    """Of each verdict the rows of smallest hash, and how many labelled URLs each of them stands for: in proportion, but a twentieth of `size` at least where there are so many."""
+    have = {r.v: r.n for r in labelled.groupBy("v").agg(F.count("*").alias("n")).collect()}
+    total, floor, out = sum(have.values()), -(-size // 20), []
+    take = {v: n if total <= size else min(n, max(floor, size * n // total)) for v, n in have.items()}
+    if sum(take.values()) > size:
+        most = max(take, key=take.get)
+        take[most] -= sum(take.values()) - size
+    for v, n in take.items():
+        out.append((labelled.where(F.col("v") == v).orderBy(F.xxhash64("url"), "url").limit(n), have[v] / n))
+    return out
 
 
-def fitted(labelled: DataFrame, size: int = SAMPLE) -> UrlModel:
-    """labelled: (url, blocked 0 or 1). The `size` rows of smallest hash of the distinct ones are learned from."""
-    own = labelled.where("url IS NOT NULL AND blocked IS NOT NULL").select("url", F.col("blocked").cast("int").alias("v"))
-    few = own.groupBy("url", "v").agg(F.count("*").alias("n")).orderBy(F.xxhash64("url"), "url", "v").limit(size).collect()
-    return UrlModel(sorted((r.url, r.v) for r in few))
+def fitted(labelled: DataFrame, size: int = SAMPLE) -> tuple[UrlModel, DataFrame]:
+    """labelled: (url, host, blocked 0 or 1). The model of a sample of `size` distinct ones, with the (suffix, rate) of all of them."""
+    own = stored(labelled.where("url IS NOT NULL AND blocked IS NOT NULL").select("url", "host", F.col("blocked").cast("int").alias("v")).distinct())
+    rates, base = rated(own)
+    rows = sorted((r.url, r.v, w, r.r1, r.r2) for few, w in sampled(own, size) for r in with_rates(few, rates, base).collect())
+    return UrlModel([x[:2] for x in rows], np.array([x[3:] for x in rows]).reshape(-1, 2), base, np.array([x[2] for x in rows])), rates
 
 
 def judged(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, size: int = SAMPLE) -> DataFrame:
@@ -164,14 +220,17 @@ def judged(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, size: int
     for kind, rule in rules:
         verdict = F.when(F.col("rule") == rule, kind).otherwise(verdict)
     own = own.withColumn("by_rule", verdict)
-    model = own.sparkSession.sparkContext.broadcast(fitted(own.where("rule IS NOT NULL").select("url", (F.col("by_rule") == "block").cast("int").alias("blocked")), size))
+    fit, rates = fitted(own.where("rule IS NOT NULL").select("url", "host", (F.col("by_rule") == "block").cast("int").alias("blocked")), size)
+    model = own.sparkSession.sparkContext.broadcast(fit)
+    own = with_rates(own, rates, fit.base)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
             urls, rule = part.column("url").to_pylist(), part.column("by_rule").to_pylist()
             open_ = [i for i, r in enumerate(rule) if r is None]
             chance = np.full(part.num_rows, np.nan)
-            chance[open_] = model.value.chance([urls[i] or "" for i in open_])
+            rates = np.stack((part.column("r1").to_numpy(), part.column("r2").to_numpy()), 1)
+            chance[open_] = model.value.chance([urls[i] or "" for i in open_], rates[open_])
             verdict = [r or ("block" if c >= 0.5 else "allow") for r, c in zip(rule, chance.tolist())]
             cols = [part.column(c) for c in ("page_id", "host", "path", "rule")]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(verdict, pa.string()), pa.array(chance, mask=np.isnan(chance))], ["page_id", "host", "path", "rule", "verdict", "block_chance"])

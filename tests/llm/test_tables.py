@@ -240,6 +240,20 @@ def test_trees_learn_lexical_signs():
     assert urls.UrlModel([]).chance(["x"]).tolist() == [0.0]
 
 
+def test_suffix_rates_count_all_and_the_sample_has_rare_verdicts(spark):
+    """Whatever the sample's size: every labelled URL counts for its suffix, once, and 3 blocked ones of 1,003 are learned from."""
+    rows = [(f"http://h{i % 7}.s{i % 50}.org/a{i}", f"h{i % 7}.s{i % 50}.org", 0) for i in range(1000)] * 2 + [(f"http://bad.rare.org/{i}", "bad.rare.org", 1) for i in range(3)]
+    df = spark.createDataFrame(rows, "url string, host string, blocked int")
+    base = 3 / 1003
+    for size in (40, 20_000):
+        model, rates = urls.fitted(df, size)
+        got = {r.suffix: r.rate for r in rates.collect()}
+        assert model.base == base and model.trees is not None and len(got) == 52
+        assert got["rare.org"] == pytest.approx((3 + base) / 4) and got["s9.org"] == pytest.approx(base / 21) and got["org"] == pytest.approx((3 + base) / 1004)
+        parts = [(f.count(), {r.v for r in f.collect()}, w) for f, w in urls.sampled(df.distinct().withColumnRenamed("blocked", "v"), size)]
+        assert sum(n for n, _, _ in parts) == min(size, 1003) and sum(n * w for n, _, w in parts) == pytest.approx(1003) and {v for _, x, _ in parts for v in x} == {0, 1}
+
+
 # The pipeline.
 
 
