@@ -108,60 +108,80 @@ def test_overlap_bound_is_a_binomial_tail():
 # Context trees.
 
 
-def test_tree_predicts_as_plain_recursion():
-    """Sequential probabilities of a small tree by the definition, with every context its own node."""
-    text = b"abracadabra abra cad"
-    depth = 2
-    stream = b"\n" * depth + text
-    counts = {}
-    for i in range(depth, len(stream)):
+def plain_score(train, texts, depth):
+    """log10 probabilities of texts by context trees in dicts, one for each choice node."""
+    counts, below = {}, {}
+
+    def bits(t):
+        data = b"\n" * depth + b"".join(w + b" " for w in split(t)) + b"\n"
+        for i in range(depth, len(data)):
+            for level in range(8):
+                yield (1 << level) | (data[i] >> (8 - level)), data[i - depth : i], data[i] >> (7 - level) & 1
+
+    for t in train:
+        for v, path, bit in bits(t):
+            for d in range(depth + 1):
+                counts.setdefault((v, path[depth - d :]), [0, 0])[bit] += 1
+
+    def kt(c):
+        return math.lgamma(c[0] + 0.5) + math.lgamma(c[1] + 0.5) - math.log(math.pi) - math.lgamma(sum(c) + 1)
+
+    under = {}
+    for (v, s), c in sorted(counts.items(), key=lambda x: -len(x[0][1])):
+        below[v, s] = kt(c) if len(s) == depth else float(np.logaddexp(kt(c), under[v, s])) - math.log(2)
+        if s:
+            under[v, s[1:]] = under.get((v, s[1:]), 0.0) + below[v, s]
+
+    def chance(v, path):
+        made, left, stop = 0.0, 1.0, 0.5
         for d in range(depth + 1):
-            counts.setdefault((d, stream[i - d : i]), Counter())[stream[i]] += 1
-    levels = []
-    for d in range(depth + 1):
-        keys = sorted((int.from_bytes(c, "big"), c) for k, c in counts if k == d)
-        m = np.zeros((len(keys), 256))
-        for row, (_, c) in zip(m, keys):
-            for b, n in counts[d, c].items():
-                row[b] = n
-        levels.append((np.array([k for k, _ in keys], np.int64), m))
-    tree = ctw.ContextTree(levels)
-
-    def kt(a, b):
-        return math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.log(math.pi) - math.lgamma(a + b + 1)
-
-    def bit_counts(c, node, extra=()):
-        level, prefix = node
-        n = [0, 0]
-        for b, k in [*c.items(), *extra]:
-            if b >> (8 - level) == prefix:
-                n[b >> (7 - level) & 1] += k
-        return n
-
-    def weighted(d, context, node, path, add):
-        """ln of the weighted probability of the node's tree, with one more bit on the path of contexts."""
-        c = counts.get((d, context), Counter())
-        a, b = bit_counts(c, node)
-        if add is not None and path[len(path) - d :] == context:
-            a, b = (a + 1, b) if add == 0 else (a, b + 1)
-        if d == depth:
-            return kt(a, b)
-        kids = [k for k in counts if k[0] == d + 1 and k[1][1:] == context]
-        # what no child holds is one more leaf; every training context is a child here
-        below = sum(weighted(d + 1, k[1], node, path, add) for k in kids)
-        if add is not None and path[len(path) - d :] == context and (d + 1, path[len(path) - d - 1 :]) not in counts:
-            below += kt(1, 0)
-        return np.logaddexp(kt(a, b), below) - math.log(2)
-
-    for path, byte in ((b"ab", ord("r")), (b"\n\n", ord("a")), (b"zz", ord("q"))):
-        want = 0.0
-        for level in range(8):
-            node = (level, byte >> (8 - level))
-            bit = byte >> (7 - level) & 1
-            want += weighted(0, b"", node, path, bit) - weighted(0, b"", node, path, None)
-        got = float(tree.logs(np.frombuffer(path + bytes([byte]), np.uint8))[0]) * math.log(10)
-        assert abs(want - got) < 1e-4, (path, byte)
-    assert np.allclose((10.0 ** tree.log10.astype(float)).sum(1), 1, atol=1e-4)
+            s = path[depth - d :]
+            if (v, s) not in counts:
+                break
+            c = counts[v, s]
+            one = (c[1] + 0.5) / (sum(c) + 1)
+            stop = made + left * one
+            share = math.exp(kt(c) - math.log(2) - below[v, s])
+            made, left = made + left * share * one, left * (1 - share)
+        return stop
+
+    return [sum(math.log10(p if bit else 1 - p) for p, bit in ((chance(v, path), bit) for v, path, bit in bits(t))) for t in texts]
+
+
+def test_scores_equal_trees_in_plain_python(spark):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").orderBy("doc_id").limit(25).collect()
+    texts = [(r.doc_id, r.text) for r in rows] + [(9001, None), (9002, ""), (9003, "zzzz qqqq"), (9004, "\u00e9t\u00e9 " * 300), (None, "A b")]
+    train = [t for i, t in texts if zlib.crc32(("" if i is None else str(i)).encode()) % 7 != 2]
+    want = dict(zip([i for i, _ in texts], plain_score(train, [t for _, t in texts], 4)))
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.score for r in ctw.scored(df, ~ctw.held_out(), depth=4).collect()}
+    assert got.keys() == want.keys()
+    for i, x in want.items():
+        assert abs(got[i] - x) < 1e-5 * max(1, abs(x)), i
+
+
+def test_chunks_do_not_change_scores(monkeypatch):
+    """Blocks of many small chunks, merged by parts, give what one chunk gives."""
+    texts = [f"a{i % 7} b{i % 5} {i}" for i in range(50)]
+    train = np.arange(50) % 3 > 0
+
+    def run(n):
+        parts = {}
+        for k in range(n):
+            chunk = ctw.Chunk(4)
+            chunk.add(ctw.Stream(pa.array(texts[k::n]), 4), train[k::n].astype(np.int64))
+            for p, k_, v in chunk.blocks(3):
+                parts.setdefault(p, []).append((ctw._unpack_sorted(k_), ctw._unpack(v)) if p < 3 else (k_, v))
+        grams = {p: ctw._merge(x) for p, x in parts.items() if p < 3}
+        above = ctw.top(*(np.concatenate(x) for x in zip(*(ctw.roots(*g, 4) for g in grams.values()))))
+        return {p: (g[0].tolist(), ctw.predicted(*g, 4, above).round(12).tolist()) for p, g in grams.items()}
+
+    assert run(1) == run(7)
+
+
+def test_slots_hold_clashing_keys():
+    keys = np.unique(np.random.default_rng(1).integers(0, 1 << 50, 5000))
+    assert (ctw.Places(keys)(keys[::-1]) == np.arange(len(keys))[::-1]).all()
 
 
 def test_scores_and_base(spark):
@@ -173,7 +193,7 @@ def test_scores_and_base(spark):
         if zlib.crc32(str(r.doc_id).encode()) % 7 != 2:
             c.update([*split(r.text), b"\n"])
     n, v = sum(c.values()), len(c)
-    got = ctw.scored(docs, ~ctw.held_out(), depth=4, share=2.0**-12).collect()
+    got = ctw.scored(docs, ~ctw.held_out(), depth=4).collect()
     assert len(got) == len(rows)
     by = {r.doc_id: r for r in got}
     for r in rows:
@@ -193,6 +213,12 @@ def test_scores_without_training_rows(spark):
     assert ctw.scored(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_scores_keep_the_type_of_ids(spark):
+    df = spark.createDataFrame([("x1", "a b", 5, "c"), ("x1", "a b", 5, "c"), (None, "a", 5, "c")], "doc_id string, text string, chunk int, part string")
+    got = ctw.scored(df, F.lit(True)).collect()
+    assert sorted(str(r.doc_id) for r in got) == ["None", "x1", "x1"] and len({r.score for r in got}) == 2
+
+
 # Quality.
 
 
