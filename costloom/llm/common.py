@@ -75,6 +75,19 @@ def buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, off - off[0]
 
 
+def released() -> None:
+    """Give free memory of this Python worker back to the system; it may wait long for its next task."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 SPACE = np.zeros(256, bool)

@@ -27,6 +27,7 @@ from __future__ import annotations
 import math
 import struct
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,15 +37,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Words, crc_mod, mix, steps, stored
+from .common import Words, crc_mod, mix, released, steps, stored
 
 DEPTH = 6
 #: Contexts of so many bytes are the roots of the parts' trees.
 CUT = 2
 #: A chunk ends at so many bytes of text, distinct grams or distinct words.
-CHUNK_BYTES, CHUNK_GRAMS, CHUNK_WORDS = 32 << 20, 3_000_000, 600_000
+CHUNK_BYTES, CHUNK_GRAMS, CHUNK_WORDS = 24 << 20, 2_500_000, 500_000
 #: Keys that wait for being merged.
-HELD = 3_000_000
+HELD = 1_000_000
 #: One part for so many bytes of text, up to MOST_PARTS.
 PART_BYTES, MOST_PARTS = 32 << 20, 2048
 END, GAP = 10, 32
@@ -85,10 +86,13 @@ def _unpack_bytes(b: bytes) -> bytes:
 
 
 def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct sorted keys of some sorted lists, and the sums of their numbers."""
-    keys = np.concatenate([k for k, _ in parts])
+    """Distinct sorted keys of some sorted lists, and the sums of their numbers; the lists are taken from `parts`."""
+    if len(parts) == 1:
+        return parts[0]
+    keys, n = np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts])
+    parts.clear()
     order = np.argsort(keys, kind="stable")
-    keys, n = keys[order], np.concatenate([c for _, c in parts])[order]
+    keys, n = keys[order], n[order]
     head = _heads(keys)
     return keys[head], np.add.reduceat(n, head) if len(head) else n
 
@@ -147,41 +151,33 @@ class Chunk:
 
     def __init__(self, depth: int):
         self.depth, self.parts, self.held, self.bytes, self.seq = depth, [], 0, 0, 0
-        self.words: dict[bytes, int] = {}
+        self.learnt, self.other = Counter(), set()
 
     def add(self, s: Stream, train: np.ndarray) -> None:
-        from collections import Counter
-
         k = (_grams(s.data, s.sizes, self.depth) << 1) | np.repeat(train, s.sizes)
         k.sort()
         head = _heads(k)
         self.parts.append((k[head], np.diff(head, append=len(k))))
         self.held += len(head)
-        if self.held > HELD:
+        del k
+        if self.held > HELD + len(self.parts[0][0]):
             self.parts = [_merge(self.parts)]
             self.held = len(self.parts[0][0])
-        tokens, cut, words = s.data.tobytes().split(), np.concatenate(([0], np.cumsum(s.words))), self.words
+        tokens, cut = s.data.tobytes().split(), np.concatenate(([0], np.cumsum(s.words)))
         # runs of texts of one side
         turn = np.flatnonzero(np.concatenate(([True], train[1:] != train[:-1]))) if len(train) else []
-        learnt, other = Counter(), set()
         for a, b in zip(turn, [*turn[1:], len(train)]):
-            if train[a]:
-                learnt.update(tokens[cut[a] : cut[b]])
-            else:
-                other.update(tokens[cut[a] : cut[b]])
-        for w, n in learnt.items():
-            words[w] = words.get(w, 0) + n
-        for w in other:
-            words.setdefault(w, 0)
-        words[b"\n"] = words.get(b"\n", 0) + int(train.sum())
+            (self.learnt if train[a] else self.other).update(tokens[cut[a] : cut[b]])
+        self.learnt[b"\n"] += int(train.sum())
         self.bytes += len(s.data)
 
     def full(self) -> bool:
-        return self.bytes >= CHUNK_BYTES or self.held > CHUNK_GRAMS and len(self.parts) == 1 or len(self.words) > CHUNK_WORDS
+        return self.bytes >= CHUNK_BYTES or self.held > CHUNK_GRAMS and len(self.parts) == 1 or len(self.learnt) + len(self.other) > CHUNK_WORDS
 
     def blocks(self, n_parts: int) -> Iterator[tuple[int, bytes, bytes]]:
         """(part, keys, counts) of grams, then of words."""
         k, n = _merge(self.parts)
+        self.parts = []
         n *= k & 1
         k >>= 1
         head = _heads(k)
@@ -192,11 +188,14 @@ class Chunk:
         head = _heads(part)
         for a, b in zip(head, np.append(head[1:], len(part))):
             yield int(part[a]), _pack_sorted(k[a:b]), _pack(n[a:b])
+        del k, n, part, order
         dealt: dict[int, list[bytes]] = {}
-        for w in sorted(self.words):
+        for w in self.learnt.keys() | self.other:
             dealt.setdefault(n_parts + zlib.crc32(w) % n_parts, []).append(w)
-        for p, w in dealt.items():
-            yield p, _pack_bytes(b" ".join(w)), _pack(np.array([self.words[x] for x in w], np.int64))
+        while dealt:
+            p, w = dealt.popitem()
+            w.sort()
+            yield p, _pack_bytes(b" ".join(w)), _pack(np.array([self.learnt[x] for x in w], np.int64))
 
 
 def _part_of(n_parts: int) -> np.ndarray:
@@ -225,8 +224,11 @@ def _cutter(depth: int, n_parts: int, id_type: pa.DataType):
             if chunk.full():
                 yield from (row(number, p, 0, k, v) for p, k, v in chunk.blocks(n_parts))
                 number, chunk = number + 1, Chunk(depth)
+                released()
         if chunk.seq:
             yield from (row(number, p, 0, k, v) for p, k, v in chunk.blocks(n_parts))
+        del chunk
+        released()
 
     return run
 
@@ -385,6 +387,8 @@ def _merger(depth: int, n_parts: int):
                         words[w] = words.get(w, 0) + n
         if part is not None:
             yield done(part, parts, words)
+        del parts, words
+        released()
 
     return run
 
@@ -452,7 +456,8 @@ def _scorer(depth: int, n: int, v: int, id_type: pa.DataType):
             for i in range(batch.num_rows):
                 c, kind, _, k, x = (batch.column(j)[i].as_py() for j in range(5))
                 if c != chunk:
-                    chunk, found, words, places = c, [], {}, None
+                    chunk, found, words, places, logs = c, [], {}, None, None
+                    released()
                 if kind == GRAMS:
                     found.append((_unpack_sorted(k), _unpack(x, np.float32)))
                     continue
@@ -477,6 +482,9 @@ def _scorer(depth: int, n: int, v: int, id_type: pa.DataType):
                     [ids.cast(id_type), pa.array(n_words + 1), pa.array(known[b] - known[a] + (ends > 0)), pa.array(np.full(len(b), n)), pa.array(base), pa.array(score), pa.array(-score / math.log10(2) / sizes)],
                     ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"],
                 )
+                del data, total, tokens, count, more, known
+        del words, places, logs
+        released()
 
     return run
 
