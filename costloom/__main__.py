@@ -1,7 +1,7 @@
 """Command line: extract a snapshot, run the pipeline on one, score, or diagnose fan-out.
 
     python -m costloom extract --url jdbc:postgresql://... --out snap [--days-back 115]
-    python -m costloom run --snapshot snap --out out [--reconcile-only] [--report out/report.html]
+    python -m costloom run --snapshot snap --out out [--reconcile-only] [--gbm] [--detect-days 30] [--report out/report.html]
     python -m costloom score --snapshot snap --bundle b --ledger l --frame 1a --manifest m.json
     python -m costloom diagnose --snapshot snap
 """
@@ -42,31 +42,44 @@ def run(a) -> int:
         return 0
     built = pipeline.build(tables)
     snapshot.write_frames({f"frame_{n}": f.df for n, f in built.items()}, a.out)
-    made = {n: spark.read.parquet(f"{a.out}/frame_{n}.parquet") for n in built}
-    ledgers, tabs = {}, {}
+    manifest = pipeline.manifest_of(built)
+    snapshot.write_json(spark, f"{a.out}/ml_manifest.json", manifest)
+    for n, m in manifest.items():
+        print(f"{n}: {m['rows']} rows, {len(m['feature_cols'])} features")
+    built["1a"].df.groupBy("data_regime").count().show()
+    ledgers, tabs, results = {}, {}, {}
     for n, f in built.items():
-        f.df = made[n]
         try:
-            ledger, table = pipeline.backtest(f, n)
+            ledger, table = pipeline.backtest(f, n, gbm=a.gbm)
         except BacktestError as e:  # a frame that can't be judged is reported, the others go on
             print(f"frame {n}: {e}")
+            results[f"frame_{n}"] = {"error": str(e)}
             continue
         ledger.write.mode("overwrite").parquet(f"{a.out}/ledger_{n}.parquet")
-        ledgers[n] = (spark.read.parquet(f"{a.out}/ledger_{n}.parquet"), f.spec.group_keys)
-        tabs[f"back-test {n}"] = table
+        ledgers[n] = (ledger, f.spec.group_keys)
+        tabs[n] = table.cache()
+        results[f"frame_{n}"] = [r.asDict() for r in table.collect()]  # a row for each model
         table.show(truncate=False)
+    snapshot.write_json(spark, f"{a.out}/backtest_summary.json", results)
     old = spark.read.parquet(f"{a.out}/alerts.parquet").cache() if snapshot.exists(spark, f"{a.out}/alerts.parquet") else None
     if old is not None:
         old.count()  # the file is replaced below
-    alerts = pipeline.detect(ledgers, a.models.split(","), tables, made.get("2"), old, score_days=a.score_days).cache()
+    alerts = pipeline.detect(ledgers, tables, built["2"].df, old, score_days=a.detect_days or None)
     alerts.write.mode("overwrite").parquet(f"{a.out}/alerts.parquet")
     detector.alert_counts(alerts).show()
     alerts.show(3, truncate=False)
     if a.report:
-        daily = made["1a"].groupBy("run_date").agg(F.sum("cost").cast("double").alias("cost")).orderBy("run_date")
-        page = pipeline.report("Cost", {"reconciliation": summary, "alerts": detector.triaged(alerts).limit(8), **tabs}, {"pool cost": daily})
-        with open(a.report, "w") as f:
-            f.write(page)
+        charts = {"pool cost": built["1a"].df.groupBy("run_date").agg(F.sum("cost").cast("double").alias("cost")).orderBy("run_date")}
+        bars = {}
+        for n, table in tabs.items():
+            ledger, keys = ledgers[n]
+            bars |= {f"frame {n}: mean absolute error": (table.select("model", "mae"), None), f"frame {n}: coverage": (table.select("model", "coverage"), 0.9)}
+            best = table.first().model
+            for g in pipeline.top_groups(built[n].df, keys).collect():
+                group = {k: g[k] for k in keys}
+                charts[f"frame {n}, {best}: {group}"] = pipeline.forecast_chart(ledger.where(F.col("model") == best), group)
+        page = pipeline.report("Cost", {"reconciliation": summary, "alerts": alerts.limit(8), **{f"back-test {n}": t for n, t in tabs.items()}}, charts, bars=bars)
+        snapshot.write_text(spark, a.report, page)
     return 0
 
 
@@ -76,7 +89,8 @@ def score(a) -> int:
     tables = snapshot.load_snapshot(spark, a.snapshot)
     ledger = PredictionLedger(spark, a.ledger, a.frame, a.keys.split(",") if a.keys else POOL_KEYS[1:])
     try:
-        print(pipeline.score(spark, a.bundle, tables, ledger, a.manifest, builder, a.featurize))
+        for k, v in pipeline.score(spark, a.bundle, tables, ledger, a.manifest, builder, a.featurize, ignore_watermark=a.ignore_watermark).items():
+            print(f"{k:16} {v}")
     except ScoringAborted as e:
         print(e, file=sys.stderr)
         return 0 if e.soft else 1
@@ -106,8 +120,8 @@ def main(argv: list[str] | None = None) -> int:
     x.add_argument("--snapshot", required=True)
     x.add_argument("--out", required=True)
     x.add_argument("--reconcile-only", action="store_true")
-    x.add_argument("--models", default="rolling_median,seasonal_naive")
-    x.add_argument("--score-days", type=int, default=30)
+    x.add_argument("--gbm", action="store_true", help="add the quantile GBM, as it is and calibrated, to the back-test")
+    x.add_argument("--detect-days", type=int, default=30, help="alerts of the last so many days; 0: of all days")
     x.add_argument("--report")
     x.set_defaults(f=run)
     x = sub.add_parser("score")
@@ -116,6 +130,7 @@ def main(argv: list[str] | None = None) -> int:
     x.add_argument("--frame", default="1a", choices=sorted(frames.BUILDERS))
     x.add_argument("--keys")
     x.add_argument("--featurize")
+    x.add_argument("--ignore-watermark", action="store_true")
     x.set_defaults(f=score)
     x = sub.add_parser("diagnose")
     x.add_argument("--snapshot", required=True)

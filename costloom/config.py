@@ -49,22 +49,21 @@ class FrameSpec:
 
 @dataclass(frozen=True)
 class DetectorConfig:
-    coverage: float = 0.9
-    margin_days: int = 90
-    min_group_scores: int = 30
+    """The detector's thresholds; below impact_medium (currency) an alert is low, below impact_high medium at most."""
+
+    target_coverage: float = 0.90
+    margin_window_days: int = 90
+    min_margin_scores: int = 30
     cusum_k: float = 0.5
     cusum_h: float = 5.0
-    cusum_window: int = 60
-    cusum_min: int = 20
-    sigma_floor: float = 1e-9
-    job_min_days: int = 10
-    job_z: float = 5.0
-    job_min_deviation: float = 5.0
-    unknown_limit: float = 0.2
-    high_score: float = 1.0
-    medium_score: float = 0.25
-    low_impact: float = 50.0
-    medium_impact: float = 500.0
+    cusum_sigma_window: int = 60
+    cusum_min_history: int = 20
+    z_threshold: float = 5.0
+    min_job_history: int = 10
+    job_abs_floor: float = 5.0
+    unknown_pct_threshold: float = 0.20
+    impact_medium: float = 50.0
+    impact_high: float = 500.0
 
 
 @dataclass
@@ -76,3 +75,4 @@ class Frame:
     feature_cols: list[str] = field(default_factory=list)
     categorical_cols: list[str] = field(default_factory=list)
     reports: dict = field(default_factory=dict)
+    train_origin: date | None = None

@@ -15,15 +15,20 @@ from pyspark.sql import functions as F
 
 from ..config import FrameSpec
 from ..errors import BacktestError
+from . import ranks
 
 MIN_RESIDUALS = 20
 TREND_DAYS, MEDIAN_ROWS, MEDIAN_MIN = 90, 28, 7
 MODELS = ("seasonal_naive", "three_month_trend", "rolling_median")
 
 
-def prepare(frame: DataFrame, regimes: Sequence[str] = (), mask: Column | None = None) -> DataFrame:
+#: The regimes a back-test reads unless told otherwise.
+DEFAULT_REGIMES = ("featured_gated",)
+
+
+def prepare(frame: DataFrame, regimes: Sequence[str] = DEFAULT_REGIMES, mask: Column | None = None) -> DataFrame:
     """The honest evaluation slice; an empty one raises."""
-    out = frame.where(F.col("data_regime").isin(*regimes)) if regimes else frame
+    out = frame.where(F.col("data_regime").isin(*regimes)) if regimes and "data_regime" in frame.columns else frame
     out = out.where(mask) if mask is not None else out
     if not out.limit(1).count():
         raise BacktestError("no rows are left to evaluate")
@@ -55,13 +60,21 @@ def _months(origins: Sequence[date]):
 
 
 def folds(frame: DataFrame, spec: FrameSpec, origins: Sequence[date]) -> tuple[DataFrame, DataFrame]:
-    """(train, test): each row under every origin it serves, as origin, group keys, day, y. Origins are few and literal."""
+    """(train, test): each row under every origin it serves, as origin, group keys, day, y. Origins are few and literal.
+
+    Training rows carry what the row shows against the rows before it, naive_r and median_r: it is the same under every
+    origin, so it is made once, before rows are copied.
+    """
     if not origins:
         raise BacktestError("there is no honest origin")
     base = frame.select(*spec.group_keys, F.col(spec.date_col).alias("day"), F.col(spec.target).cast("double").alias("y"))
-    every = base.withColumn("o", _months(origins))
+    order = W.partitionBy(*spec.group_keys).orderBy("day")
+    before = order.rowsBetween(-MEDIAN_ROWS, -1)
+    past = F.when(F.count("y").over(before) >= MEDIAN_MIN, F.percentile("y", F.lit(0.5)).over(before))
+    own = base.where(F.col("day") < F.lit(max(origins))).withColumns({"naive_r": F.col("y") - F.lag("y", 7).over(order), "median_r": F.col("y") - past})
     cols = [F.col("o.origin").alias("origin"), *spec.group_keys, "day", "y"]
-    return every.where("day < o.origin").select(*cols), every.where("day >= o.origin AND day < o.until").select(*cols)
+    train = own.withColumn("o", _months(origins)).where("day < o.origin").select(*cols, "naive_r", "median_r")
+    return train, base.withColumn("o", _months(origins)).where("day >= o.origin AND day < o.until").select(*cols)
 
 
 def _bands(residuals: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -69,7 +82,7 @@ def _bands(residuals: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFr
     q = [F.percentile("r", F.lit(p)).alias(n) for p, n in ((0.05, "lo"), (0.95, "hi"))]
     own = residuals.where("r IS NOT NULL")
     by = own.dropna(subset=list(keys)).groupBy("origin", *keys).agg(*q, F.count("*").alias("n")).where(F.col("n") >= MIN_RESIDUALS).drop("n")
-    return by, own.groupBy("origin").agg(*(x.alias(f"p_{n}") for x, n in zip(q, ("lo", "hi"))))
+    return by, ranks.quantiles(own, ["origin"], "r", {"p_lo": 0.05, "p_hi": 0.95})
 
 
 def _with_bands(points: DataFrame, residuals: DataFrame, keys: Sequence[str], model: str) -> DataFrame:
@@ -86,8 +99,7 @@ def seasonal_naive(train: DataFrame, test: DataFrame, keys: Sequence[str]) -> Da
     """The group's last known value of the same weekday; residuals against the row seven before."""
     t = train.withColumn("dow", F.weekday("day"))
     last = t.where("y IS NOT NULL").groupBy("origin", *keys, "dow").agg(F.max_by("y", "day").alias("point"))
-    w = W.partitionBy("origin", *keys).orderBy("day")
-    res = train.select("origin", *keys, (F.col("y") - F.lag("y", 7).over(w)).alias("r"))
+    res = train.select("origin", *keys, F.col("naive_r").alias("r"))
     points = test.withColumn("dow", F.weekday("day")).join(last, ["origin", *keys, "dow"], "left")
     return _with_bands(points, res, keys, "seasonal_naive")
 
@@ -108,9 +120,7 @@ def rolling_median(train: DataFrame, test: DataFrame, keys: Sequence[str]) -> Da
     """The median of the group's last 28 rows; residuals against the trailing median of at least 7."""
     recent = W.partitionBy("origin", *keys).orderBy(F.col("day").desc())
     mid = train.withColumn("k", F.row_number().over(recent)).where(F.col("k") <= MEDIAN_ROWS).groupBy("origin", *keys).agg(F.percentile("y", F.lit(0.5)).alias("point"))
-    w = W.partitionBy("origin", *keys).orderBy("day").rowsBetween(-MEDIAN_ROWS, -1)
-    past = F.when(F.count("y").over(w) >= MEDIAN_MIN, F.percentile("y", F.lit(0.5)).over(w))
-    res = train.select("origin", *keys, (F.col("y") - past).alias("r"))
+    res = train.select("origin", *keys, F.col("median_r").alias("r"))
     return _with_bands(test.join(mid, ["origin", *keys], "left"), res, keys, "rolling_median")
 
 

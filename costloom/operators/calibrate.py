@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars
+from . import ranks
 from .checks import null_safe
 
 MIN_GROUP_SCORES = 30
@@ -16,17 +17,26 @@ TAIL_DAYS = 90
 
 
 def finite_sample_quantile(score: str, coverage: float) -> Column:
-    """The ceil((n + 1) * coverage)-th smallest score, the greatest if that is beyond n, 0 without scores."""
+    """The ceil((n + 1) * coverage)-th smallest score, the greatest if that is beyond n, 0 without scores.
+
+    For the scores of one series, which fit an array; pooled_quantile is for those of all.
+    """
     got = F.sort_array(F.collect_list(score))
     k = F.least(F.ceil((F.count(score) + 1) * F.lit(coverage)), F.count(score)).cast("int")
     return F.when(F.count(score) > 0, F.try_element_at(got, F.greatest(k, F.lit(1)))).otherwise(F.lit(0.0))
 
 
+def pooled_quantile(scores: DataFrame, by: Sequence[str], coverage: float, score: str = "score") -> DataFrame:
+    """by, margin, n: the same value over any number of scores, by counts. Without any score there is no row."""
+    return ranks.order_statistics(scores, by, score, {"margin": ranks.conformal_rank(coverage)})
+
+
 def margins(ledger: DataFrame, keys: Sequence[str], coverage: float = 0.9, scaled: bool = True, min_scores: int = MIN_GROUP_SCORES) -> DataFrame:
     """keys, margin, n, guaranteed, pooled: one pooled row with null keys, and one for each group of enough scores."""
     s = ledger.withColumn("score", scalars.cqr_score(scaled=scaled)).where("score IS NOT NULL")
     agg = [finite_sample_quantile("score", coverage).alias("margin"), F.count("*").alias("n")]
-    pooled = s.agg(*agg).select(*(F.lit(None).cast(ledger.schema[k].dataType).alias(k) for k in keys), "margin", "n", F.lit(True).alias("pooled"))
+    pooled = pooled_quantile(s, [], coverage).agg(F.coalesce(F.max("margin"), F.lit(0.0)).alias("margin"), F.coalesce(F.max("n"), F.lit(0)).alias("n"))
+    pooled = pooled.select(*(F.lit(None).cast(ledger.schema[k].dataType).alias(k) for k in keys), "margin", "n", F.lit(True).alias("pooled"))
     by = s.dropna(subset=list(keys)).groupBy(*keys).agg(*agg).where(F.col("n") >= min_scores).withColumn("pooled", F.lit(False))
     return pooled.unionByName(by).withColumn("guaranteed", F.ceil((F.col("n") + 1) * F.lit(coverage)) <= F.col("n"))
 
@@ -68,9 +78,8 @@ def conformal(forecast: Callable[[DataFrame, DataFrame, Sequence[str]], DataFram
         marked = train.join(ends, "origin").withColumn("late", F.col("day") > F.date_sub("end", tail_days))
         tail = forecast(marked.where("NOT late").drop("end", "late"), marked.where("late").drop("end", "late"), keys)
         s = tail.withColumn("score", scalars.cqr_score(scaled=scaled)).where("score IS NOT NULL")
-        q = finite_sample_quantile("score", target)
-        by = s.groupBy("origin", *keys).agg(q.alias("g"), F.count("*").alias("n")).where(F.col("n") >= MIN_GROUP_SCORES).drop("n")
-        pooled = s.groupBy("origin").agg(q.alias("p"))
+        by = s.groupBy("origin", *keys).agg(finite_sample_quantile("score", target).alias("g"), F.count("*").alias("n")).where(F.col("n") >= MIN_GROUP_SCORES).drop("n")
+        pooled = pooled_quantile(s, ["origin"], target).select("origin", F.col("margin").alias("p"))
         out = null_safe(forecast(train, test, keys), by, ["origin", *keys], "left").join(pooled, "origin", "left")
         lo, hi = scalars.widened("q05", "q50", "q95", F.coalesce("g", "p", F.lit(0.0)), scaled)
         return out.withColumns({"q05": lo, "q95": hi}).withColumn("model", F.concat(F.lit("conformal_"), "model")).drop("g", "p")

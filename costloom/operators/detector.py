@@ -2,141 +2,243 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from datetime import date, timedelta
+from collections.abc import Callable, Iterator, Sequence
+from datetime import date
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..config import DetectorConfig
 from ..functions import scalars
 from ..functions.scalars import ALERT_COLUMNS
-from . import calibrate
+from . import calibrate, ranks
 from .joins import carry_status
 
-JOB_SCOPE = ["subscription_id", "batch_account_name", "pool_name", "job_id"]
+# The keys of a job's profile.
+JOB_PROFILE_KEYS = ["subscription_id", "batch_account_name", "pool_name", "job_name"]
+# From the median absolute deviation to a standard deviation, and the least spread.
+MAD_SCALE, WIDTH_FLOOR = 1.4826, 1e-9
 
 
-def _alerts(rows: DataFrame, layer: str, config: DetectorConfig) -> DataFrame:
-    """rows (run_date, scope, direction, score, impact, and some of the other columns) as alerts."""
-    null = {c: F.lit(None).cast("double") for c in ("observed", "expected", "lower", "upper", "impact") if c not in rows.columns} | {c: F.lit(None).cast("string") for c in ("model",) if c not in rows.columns}
-    out = rows.withColumns(null | {"layer": F.lit(layer), "status": F.lit("new")})
+def _alerts(rows: DataFrame, layer: str, metric: str, config: DetectorConfig) -> DataFrame:
+    """rows (run_date, scope, direction, score, message, and some of the other columns) as alerts."""
+    null = {c: F.lit(None).cast("double") for c in ("observed", "expected", "lo", "hi", "impact") if c not in rows.columns}
+    out = rows.withColumns(null | {"layer": F.lit(layer), "metric": F.lit(metric), "status": F.lit("new")})
     if "severity" not in out.columns:
         out = out.withColumn("severity", scalars.severity(F.col("score"), F.col("impact"), config))
     out = out.withColumn("alert_id", scalars.alert_id(F.col("layer"), F.col("scope"), F.col("run_date"), F.col("direction")))
     return out.select(*ALERT_COLUMNS)
 
 
-def trailing_margins(ledger: DataFrame, keys: Sequence[str], config: DetectorConfig = DetectorConfig(), score_from: date | None = None) -> DataFrame:
-    """run_date, keys, margin, n: for each day the conformal margins of the scores of the days before it; null keys: pooled.
+# Layer 1: intervals.
 
-    Scores of a day serve each of the next margin_days days, so the days, not the rows, are joined; only the few
-    days that are scored are built.
+
+def pooled_margins(scores: DataFrame, days: DataFrame, config: DetectorConfig = DetectorConfig()) -> DataFrame:
+    """run_date, margin, n: for each day of `days` (d) the margin of all scores of the margin_window_days days before it.
+
+    Scores (run_date, score) are counted by day and bucket; only these counts meet every day they serve, and of the
+    scores themselves only the one bucket that holds a day's rank.
+    """
+    vals = ranks.counted(scores, ["run_date"], "score")
+    pairs = days.select("d", F.explode(F.sequence(F.date_sub("d", config.margin_window_days), F.date_sub("d", 1))).alias("run_date"))
+    held = vals.groupBy("run_date", "_b").agg(F.sum("_c").alias("_h"))
+    by_day = pairs.join(held, "run_date").groupBy("d", "_b").agg(F.sum("_h").alias("_h"))
+    goal = ranks.targets(by_day, ["d"], {"margin": ranks.conformal_rank(config.target_coverage)})
+    hits = goal.join(pairs, "d").join(vals, ["run_date", "_b"]).groupBy("d", "_name", "_rest", "_n", "_v").agg(F.sum("_c").alias("_c"))
+    return ranks.picked(hits, ["d"], ["margin"]).withColumnRenamed("d", "run_date")
+
+
+def calibrated(ledger: DataFrame, keys: Sequence[str], config: DetectorConfig = DetectorConfig(), score_from: date | None = None) -> DataFrame:
+    """The ledger's rows from score_from on with margin, lo and hi, calibrated on the days before each: by its group's scores if there are enough, else by all.
+
+    A group's scores of the days before are one array, no longer than these days.
     """
-    s = ledger.withColumn("score", scalars.cqr_score()).where("score IS NOT NULL").select("run_date", *keys, "score")
-    days = ledger.select(F.col("run_date").alias("d")).distinct()
-    if score_from:
-        days = days.where(F.col("d") >= F.lit(score_from))
-    pairs = days.select("d", F.explode(F.sequence(F.date_sub("d", config.margin_days), F.date_sub("d", 1))).alias("run_date"))
-    near = s.join(pairs, "run_date").drop("run_date")
-    agg = [calibrate.finite_sample_quantile("score", config.coverage).alias("margin"), F.count("*").alias("n")]
-    pooled = near.groupBy("d").agg(*agg).select("d", *(F.lit(None).cast(ledger.schema[k].dataType).alias(k) for k in keys), "margin", "n")
-    by = near.groupBy("d", *keys).agg(*agg).where(F.col("n") >= config.min_group_scores)
-    return pooled.unionByName(by).withColumnRenamed("d", "run_date")
+    known = ledger.dropna(subset=["y_true", "q05", "q50", "q95"]).withColumn("_s", scalars.cqr_score())
+    past = W.partitionBy(*keys).orderBy(F.unix_date("run_date")).rangeBetween(-config.margin_window_days, -1)
+    rows = known.withColumn("_past", F.sort_array(F.collect_list("_s").over(past)))
+    rows = rows.where(F.col("run_date") >= F.lit(score_from)) if score_from else rows
+    n = F.size("_past")
+    k = ranks.conformal_rank(config.target_coverage)(n).cast("int")
+    whole = F.lit(True)
+    for c in keys:
+        whole = whole & F.col(c).isNotNull()
+    rows = rows.withColumn("_own", F.when(whole & (n >= config.min_margin_scores), F.try_element_at("_past", k))).drop("_past")
+    days = known.select(F.col("run_date").alias("d")).distinct()
+    days = days.where(F.col("d") >= F.lit(score_from)) if score_from else days
+    pooled = pooled_margins(known.select("run_date", F.col("_s").alias("score")), days, config)
+    rows = rows.join(pooled.select("run_date", F.col("margin").alias("_p")), "run_date")  # a day without earlier scores is left out
+    rows = rows.withColumn("margin", F.coalesce("_own", "_p"))
+    lo, hi = scalars.widened("q05", "q50", "q95", F.col("margin"))
+    return rows.withColumns({"lo": lo, "hi": hi}).drop("_s", "_own", "_p")
 
 
 def interval_alerts(ledger: DataFrame, keys: Sequence[str], config: DetectorConfig = DetectorConfig(), score_from: date | None = None) -> DataFrame:
     """Layer 1: values outside their interval after calibration on the days before; days without such scores are skipped."""
-    m = trailing_margins(ledger, keys, config, score_from)
-    pooled = m.where(" AND ".join(f"{k} IS NULL" for k in keys)).select("run_date", F.col("margin").alias("_p"))
-    own = m.where(" AND ".join(f"{k} IS NOT NULL" for k in keys)).select("run_date", *keys, F.col("margin").alias("_g"))
-    rows = ledger.where("y_true IS NOT NULL AND q50 IS NOT NULL").join(pooled, "run_date").join(own, ["run_date", *keys], "left")
-    lo, hi = scalars.widened("q05", "q50", "q95", F.coalesce("_g", "_p"))
-    rows = rows.withColumns({"lower": lo, "upper": hi})
-    above, below = F.col("y_true") - F.col("upper"), F.col("lower") - F.col("y_true")
+    rows = calibrated(ledger, keys, config, score_from)
+    above, below = F.col("y_true") - F.col("hi"), F.col("lo") - F.col("y_true")
     rows = rows.withColumn("impact", F.greatest(above, below)).where("impact > 0")
-    rows = rows.withColumns({"direction": F.when(above > 0, "above").otherwise("below"), "score": F.col("impact") / F.greatest(F.col("upper") - F.col("lower"), F.lit(1e-9)), "observed": F.col("y_true"), "expected": F.col("q50"), "scope": scalars.scope(keys)})
-    text = F.format_string("%.2f is %s the calibrated interval [%.2f, %.2f] by %.2f", "observed", "direction", "lower", "upper", "impact")
-    return _alerts(rows.withColumn("message", text), "L1", config)
+    rows = rows.withColumns({"direction": F.when(above > 0, "above").otherwise("below"), "score": F.col("impact") / F.greatest(F.col("hi") - F.col("lo"), F.lit(WIDTH_FLOOR)), "observed": F.col("y_true"), "expected": F.col("q50"), "scope": scalars.scope(keys)})
+    text = F.format_string("%s: %.2f is %s the calibrated interval [%.2f, %.2f] by %.2f", "scope", "observed", "direction", "lo", "hi", "impact")
+    return _alerts(rows.withColumn("message", text), "L1_interval", "daily_cost", config)
 
 
-def _median(arr: Column) -> Column:
-    """The median of an array without nulls, null if empty. The sorted array is bound, so that it is made once."""
-    n = F.size(arr)
-    pick = lambda s, i: F.try_element_at(s, i.cast("int"))
-    mid = F.transform(F.array(F.array_sort(arr)), lambda s: (pick(s, F.floor((F.size(s) + 1) / 2)) + pick(s, F.floor(F.size(s) / 2) + 1)) / 2)
-    return F.when(n > 0, mid[0])
+# Sequences: the rows of a group in order, one after the other through a task, which keeps only what later rows need.
 
 
-def _robust(arr: Column, floor: float) -> Column:
-    """struct(median, sigma) of an array: sigma is 1.4826 times the median absolute deviation, at least floor."""
-    def scale(m: Column) -> Column:
-        return F.struct(m.alias("median"), F.greatest(F.lit(1.4826) * _median(F.transform(arr, lambda x: F.abs(x - m))), F.lit(floor)).alias("sigma"))
+def _runs(first: np.ndarray) -> Iterator[tuple[int, int, bool]]:
+    """(begin, end, whether the group begins here) of each group's rows in a batch; first marks a group's first row."""
+    cut = np.flatnonzero(first)
+    begin = [0, *cut.tolist()] if len(first) and not first[0] else cut.tolist()
+    for a, b in zip(begin, [*begin[1:], len(first)]):
+        yield a, b, bool(first[a])
 
-    return F.transform(F.array(_median(arr)), scale)[0]
 
+def _in_order(rows: DataFrame, keys: Sequence[str], order: Sequence[str], col: str, make: Callable[[], Callable], made: str) -> DataFrame:
+    """rows with the columns that a group's walk yields: walk(values, run_dates) -> arrays, called on the group's rows in order, piece by piece.
 
-def residual_series(ledger: DataFrame, keys: Sequence[str], config: DetectorConfig = DetectorConfig()) -> DataFrame:
-    """keys, run_date, i, residual, median, sigma, n: residuals against the median forecast with the robust scale of those before."""
-    rows = ledger.dropna(subset=[*keys, "y_true", "q50"]).select(*keys, "run_date", "y_true", "q50", (F.col("y_true") - F.col("q50")).alias("residual"))
-    order = W.partitionBy(*keys).orderBy("run_date", "residual")
-    arr = rows.withColumns({"i": F.row_number().over(order), "_past": F.collect_list("residual").over(order.rowsBetween(-config.cusum_window, -1))})
-    arr = arr.withColumns({"n": F.size("_past"), "_r": _robust(F.col("_past"), config.sigma_floor)})
-    return arr.withColumns({"median": F.col("_r.median"), "sigma": F.col("_r.sigma")}).drop("_past", "_r")
+    The row number is taken over the same partitions and order, so a group's rows stay together.
+    """
+    numbered = rows.withColumn("i", F.row_number().over(W.partitionBy(*keys).orderBy(*order)))
+    at, day, pos = (numbered.columns.index(c) for c in (col, "run_date", "i"))
+    names = [x.split()[0] for x in made.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        walk = make()
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = batch.column(at).to_numpy(zero_copy_only=False).astype(np.float64)
+            days = batch.column(day).cast(pa.int32()).to_numpy(zero_copy_only=False)
+            got = []
+            for a, b, new in _runs(batch.column(pos).to_numpy(zero_copy_only=False) == 1):
+                walk = make() if new else walk
+                got.append(walk(x[a:b], days[a:b]))
+            cols = [pa.array(np.concatenate(c), from_pandas=True) if c[0].dtype != object else pa.array([v for part in c for v in part], pa.string()) for c in zip(*got)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *cols], [*batch.schema.names, *names])
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in numbered.schema)
+    return numbered.mapInArrow(run, f"{kinds}, {made}")
+
+
+def _spread(past: np.ndarray) -> np.ndarray:
+    """1.4826 times the median absolute deviation of each row, at least the floor."""
+    mid = np.median(past, axis=1, keepdims=True)
+    return np.maximum(MAD_SCALE * np.median(np.abs(past - mid), axis=1), WIDTH_FLOOR)
+
+
+# Layer 1.5: drifts.
+
+
+class Cusum:
+    """Two sums of a series' standardised residuals that restart after an alarm: (residuals, days) -> sigma, z, s_pos, s_neg, alarm. Kept between calls: the trailing window and the sums."""
+
+    def __init__(self, config: DetectorConfig = DetectorConfig(), past: Sequence[float] = (), s_pos: float = 0.0, s_neg: float = 0.0):
+        self.config, self.past, self.s_pos, self.s_neg = config, np.asarray(past, np.float64), s_pos, s_neg
+
+    def __call__(self, residuals: np.ndarray, days: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+        c, n = self.config, len(residuals)
+        all_ = np.concatenate((self.past, residuals))
+        sigma, old = np.full(n, np.nan), len(self.past)
+        # rows with a full window at once, those before one by one
+        full = max(c.cusum_sigma_window - old, 0)
+        for j in range(max(c.cusum_min_history - old, 0), min(full, n)):
+            sigma[j] = _spread(all_[None, : old + j])[0]
+        if full < n:
+            begin = old + full - c.cusum_sigma_window
+            windows = np.lib.stride_tricks.sliding_window_view(all_[begin:-1], c.cusum_sigma_window)
+            for k in range(0, len(windows), 4096):
+                sigma[full + k : full + k + 4096] = _spread(windows[k : k + 4096])
+        z = residuals / sigma
+        pos, neg, alarm = np.full(n, np.nan), np.full(n, np.nan), np.full(n, None, object)
+        for j in np.flatnonzero(~np.isnan(sigma)):
+            self.s_pos, self.s_neg = max(0.0, self.s_pos + z[j] - c.cusum_k), max(0.0, self.s_neg - z[j] - c.cusum_k)
+            pos[j], neg[j] = self.s_pos, self.s_neg
+            if max(self.s_pos, self.s_neg) > c.cusum_h:
+                alarm[j] = "above" if self.s_pos >= self.s_neg else "below"
+                self.s_pos = self.s_neg = 0.0
+        self.past = all_[-c.cusum_sigma_window :]
+        return sigma, z, pos, neg, alarm
 
 
 def cusum(ledger: DataFrame, keys: Sequence[str], config: DetectorConfig = DetectorConfig()) -> DataFrame:
-    """keys, run_date, z, s_pos, s_neg, alarm (above, below or null) of each day with enough history; both sums restart after an alarm.
-
-    A group's days are one array: its length is the days observed, not the rows of the corpus.
-    """
-    z = F.when(F.col("n") >= config.cusum_min, (F.col("residual") - F.col("median")) / F.col("sigma"))
-    rows = residual_series(ledger, keys, config).withColumn("z", z)
-    k, h = config.cusum_k, config.cusum_h
-    walk = f"""aggregate(days, named_struct('p', 0D, 'n', 0D, 'out', cast(array() AS array<struct<run_date:date,z:double,s_pos:double,s_neg:double,alarm:string,residual:double,y:double,q:double>>)),
-      (s, d) -> if(d.z IS NULL, s, transform(array(named_struct('p', greatest(0D, s.p + d.z - {k}D), 'n', greatest(0D, s.n - d.z - {k}D))), t ->
-        named_struct('p', if(t.p > {h}D OR t.n > {h}D, 0D, t.p), 'n', if(t.p > {h}D OR t.n > {h}D, 0D, t.n),
-          'out', concat(s.out, array(named_struct('run_date', d.run_date, 'z', d.z, 's_pos', t.p, 's_neg', t.n,
-            'alarm', CASE WHEN t.p > {h}D THEN 'above' WHEN t.n > {h}D THEN 'below' END, 'residual', d.residual, 'y', d.y, 'q', d.q)))))[0]), s -> s.out)"""
-    grouped = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("i", "run_date", "z", "residual", F.col("y_true").alias("y"), F.col("q50").alias("q")))).alias("days"))
-    return grouped.select(*keys, F.explode(F.expr(walk)).alias("d")).select(*keys, "d.*")
+    """keys, run_date, y_true, q50, residual, i, sigma, z, s_pos, s_neg, alarm (above, below or null): residuals against the median forecast in the robust scale of those before; null with too few before."""
+    rows = ledger.dropna(subset=[*keys, "y_true", "q50"]).select(*keys, "run_date", F.col("y_true").cast("double").alias("y_true"), F.col("q50").cast("double").alias("q50"))
+    rows = rows.withColumn("residual", F.col("y_true") - F.col("q50"))
+    return _in_order(rows, keys, ["run_date", "residual"], "residual", lambda: Cusum(config), "sigma double, z double, s_pos double, s_neg double, alarm string")
 
 
 def cusum_alerts(ledger: DataFrame, keys: Sequence[str], config: DetectorConfig = DetectorConfig()) -> DataFrame:
     """Layer 1.5: drifts that no single day shows."""
     rows = cusum(ledger, keys, config).where("alarm IS NOT NULL")
-    stat = F.when(F.col("alarm") == "above", F.col("s_pos")).otherwise(F.col("s_neg"))
-    rows = rows.withColumns({"stat": stat, "direction": F.col("alarm"), "observed": F.col("y"), "expected": F.col("q"), "impact": F.abs("residual"), "scope": scalars.scope(keys)})
-    rows = rows.withColumn("score", (F.col("stat") - config.cusum_h) / config.cusum_h).withColumn("message", F.format_string("the sum of deviations reached %.2f (limit %.2f), %s", "stat", F.lit(config.cusum_h), "direction"))
-    return _alerts(rows, "L1.5", config)
+    stat = F.greatest("s_pos", "s_neg")
+    rows = rows.withColumns({"stat": stat, "direction": F.col("alarm"), "observed": F.col("residual"), "expected": F.lit(0.0), "impact": F.abs("residual"), "scope": scalars.scope(keys)})
+    text = F.format_string("%s: the sum of deviations %s the forecast reached %.2f (limit %.2f), sigma %.2f", "scope", "direction", "stat", F.lit(config.cusum_h), "sigma")
+    rows = rows.withColumn("score", (F.col("stat") - config.cusum_h) / config.cusum_h).withColumn("message", text)
+    return _alerts(rows, "L1.5_cusum", "residual_drift", config)
+
+
+# Layer 2: jobs.
 
 
-def job_profiles(job_cost: DataFrame, config: DetectorConfig = DetectorConfig()) -> DataFrame:
-    """JOB_SCOPE, run_date, cost, i, n, median, sigma: each job's day against all its days before."""
-    daily = job_cost.dropna(subset=["run_date", *JOB_SCOPE]).groupBy("run_date", *JOB_SCOPE).agg(F.coalesce(F.sum("cost").cast("double"), F.lit(0.0)).alias("cost"))
-    w = W.partitionBy(*JOB_SCOPE).orderBy("run_date")
-    arr = daily.withColumns({"i": F.row_number().over(w), "_past": F.collect_list("cost").over(w.rowsBetween(W.unboundedPreceding, -1))})
-    arr = arr.withColumns({"n": F.size("_past"), "_r": _robust(F.col("_past"), config.sigma_floor)})
-    return arr.withColumns({"median": F.col("_r.median"), "sigma": F.col("_r.sigma")}).drop("_past", "_r")
+class Profile:
+    """The median and robust spread of all a job's days before each one: (costs, days) -> median, sigma; null for days that are not scored or have too few before. Kept between calls: the job's costs."""
 
+    def __init__(self, config: DetectorConfig = DetectorConfig(), since: int | None = None):
+        self.config, self.since, self.past = config, since, np.empty(0)
 
-def job_alerts(job_cost: DataFrame, config: DetectorConfig = DetectorConfig()) -> DataFrame:
+    def __call__(self, costs: np.ndarray, days: np.ndarray) -> tuple[np.ndarray, ...]:
+        all_, old = np.concatenate((self.past, costs)), len(self.past)
+        mid, sigma = np.full(len(costs), np.nan), np.full(len(costs), np.nan)
+        wanted = np.arange(len(costs)) + old >= self.config.min_job_history
+        if self.since is not None:
+            wanted &= days >= self.since
+        for j in np.flatnonzero(wanted):
+            past = all_[: old + j]
+            mid[j] = np.median(past)
+            sigma[j] = max(MAD_SCALE * np.median(np.abs(past - mid[j])), WIDTH_FLOOR)
+        self.past = all_
+        return mid, sigma
+
+
+def job_profiles(job_cost: DataFrame, config: DetectorConfig = DetectorConfig(), score_from: date | None = None) -> DataFrame:
+    """JOB_PROFILE_KEYS, run_date, cost, i, median, sigma: each job's day against all its days before, from score_from on."""
+    daily = job_cost.dropna(subset=["run_date", *JOB_PROFILE_KEYS]).groupBy("run_date", *JOB_PROFILE_KEYS).agg(F.coalesce(F.sum("cost").cast("double"), F.lit(0.0)).alias("cost"))
+    since = (score_from - date(1970, 1, 1)).days if score_from else None
+    out = _in_order(daily, JOB_PROFILE_KEYS, ["run_date"], "cost", lambda: Profile(config, since), "median double, sigma double")
+    return out.where(F.col("run_date") >= F.lit(score_from)) if score_from else out
+
+
+def job_alerts(job_cost: DataFrame, config: DetectorConfig = DetectorConfig(), score_from: date | None = None) -> DataFrame:
     """Layer 2: jobs far from their own history, and first appearances."""
-    rows = job_profiles(job_cost, config).withColumn("scope", scalars.scope(JOB_SCOPE))
     dev = F.col("cost") - F.col("median")
     z = dev / F.col("sigma")
-    far = rows.where((F.col("n") >= config.job_min_days) & (F.abs(dev) >= config.job_min_deviation) & (F.abs(z) > config.job_z))
-    far = far.withColumns({"score": F.abs(z) / config.job_z - 1, "impact": F.abs(dev), "direction": F.when(dev > 0, "above").otherwise("below"), "observed": F.col("cost"), "expected": F.col("median"), "message": F.format_string("job cost %.2f against a usual %.2f", "cost", "median")})
-    new = rows.where("i = 1").withColumns({"score": F.lit(0.0), "impact": F.col("cost"), "direction": F.lit("new"), "severity": F.lit("low"), "observed": F.col("cost"), "expected": F.lit(None).cast("double"), "message": F.format_string("first seen, cost %.2f", "cost")})
-    return _alerts(far, "L2", config).unionByName(_alerts(new, "L2_new_job", config))
+    far = F.col("median").isNotNull() & (F.abs(dev) >= config.job_abs_floor) & (F.abs(z) > config.z_threshold)
+    first = F.col("i") == 1
+    rows = job_profiles(job_cost, config, score_from).where(first | far)
+    pick = lambda new, old: F.when(first, new).otherwise(old)
+    rows = rows.withColumns({"scope": scalars.scope(JOB_PROFILE_KEYS), "score": pick(F.lit(0.0), F.abs(z) / config.z_threshold - 1), "impact": pick(F.col("cost"), F.abs(dev)), "direction": pick(F.lit("new"), F.when(dev > 0, "above").otherwise("below")), "observed": F.col("cost"), "expected": pick(F.lit(None).cast("double"), F.col("median"))})
+    rows = rows.withColumns({
+        "severity": pick(F.lit("low"), scalars.severity(F.col("score"), F.col("impact"), config)),
+        "message": pick(F.format_string("%s: first seen, cost %.2f", "scope", "cost"), F.format_string("%s: cost %.2f against a usual %.2f, %.1f spreads off", "scope", "cost", "median", z)),
+    })
+    out = _alerts(rows, "L2_job", "job_daily_cost", config)
+    return out.withColumn("metric", F.when(F.col("direction") == "new", "new_job").otherwise(F.col("metric")))
+
+
+# Attribution.
 
 
 def attribution_alerts(team_frame: DataFrame, config: DetectorConfig = DetectorConfig()) -> DataFrame:
     """Days whose share of unknown teams is over the limit."""
-    days = team_frame.select("run_date", "unknown_pct").distinct().where(F.col("unknown_pct") > config.unknown_limit)
-    rows = days.withColumns({"score": F.col("unknown_pct") / config.unknown_limit - 1, "direction": F.lit("above"), "scope": F.lit("attribution"), "observed": F.col("unknown_pct"), "expected": F.lit(config.unknown_limit), "message": F.format_string("%.1f%% of the day's cost has no team", F.col("unknown_pct") * 100)})
-    return _alerts(rows, "attribution", config)
+    days = team_frame.groupBy("run_date").agg(F.max("unknown_pct").alias("unknown_pct")).where(F.col("unknown_pct") > config.unknown_pct_threshold)
+    rows = days.withColumns({"score": F.col("unknown_pct") / config.unknown_pct_threshold - 1, "direction": F.lit("above"), "scope": F.lit("estate"), "observed": F.col("unknown_pct"), "expected": F.lit(config.unknown_pct_threshold), "message": F.format_string("%.1f%% of the day's cost has no known team", F.col("unknown_pct") * 100)})
+    return _alerts(rows, "attribution", "unknown_pct", config)
+
+
+# All layers.
 
 
 def triaged(alerts: DataFrame) -> DataFrame:
@@ -151,27 +253,23 @@ def relabelled(alerts: DataFrame, label: str) -> DataFrame:
     return out.withColumn("alert_id", scalars.alert_id(F.col("layer"), F.col("scope"), F.col("run_date"), F.col("direction"))).select(*ALERT_COLUMNS)
 
 
-def run_detector(ledgers: dict[str, tuple[DataFrame, Sequence[str]]], job_cost: DataFrame | None = None, team_frame: DataFrame | None = None, previous: DataFrame | None = None, config: DetectorConfig = DetectorConfig(), score_days: int | None = 30) -> DataFrame:
-    """All layers' alerts of the last score_days days; sequential layers see the full history before."""
-    out = None
-
-    def add(x: DataFrame, since) -> None:
-        nonlocal out
-        x = x.where(F.col("run_date") >= F.lit(since)) if since else x
-        out = x if out is None else out.unionByName(x)
-
+def run_detector(ledgers: dict[str, tuple[DataFrame, Sequence[str]]], job_cost: DataFrame | None = None, frame_2: DataFrame | None = None, config: DetectorConfig = DetectorConfig(), previous_alerts: DataFrame | None = None, score_from: date | None = None) -> DataFrame:
+    """All layers' alerts from score_from on; sequential layers see the full history before."""
+    parts = []
     for label, (ledger, keys) in ledgers.items():
-        last = ledger.agg(F.max("run_date")).first()[0]
-        since = last - timedelta(days=score_days - 1) if last and score_days else None
-        add(relabelled(interval_alerts(ledger, keys, config, since), label), since)
-        add(relabelled(cusum_alerts(ledger, keys, config), label), since)
-    for source, layer in ((job_cost, job_alerts), (team_frame, attribution_alerts)):
-        if source is not None:
-            last = source.agg(F.max("run_date")).first()[0]
-            add(layer(source, config), last - timedelta(days=score_days - 1) if last and score_days else None)
-    if previous is not None:
-        out = carry_status(out, previous)
-    return triaged(out)
+        parts.append(relabelled(interval_alerts(ledger, keys, config, score_from), label))
+        parts.append(relabelled(cusum_alerts(ledger, keys, config), label))
+    if job_cost is not None:
+        parts.append(job_alerts(job_cost, config, score_from))
+    if frame_2 is not None:
+        parts.append(attribution_alerts(frame_2, config))
+    if not parts:
+        raise ValueError("the detector needs a ledger, job costs or a team frame")
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionByName(x)
+    out = out.where(F.col("run_date") >= F.lit(score_from)) if score_from else out
+    return triaged(carry_status(out, previous_alerts) if previous_alerts is not None else out)
 
 
 def alert_counts(alerts: DataFrame) -> DataFrame:

@@ -67,8 +67,14 @@ def add_rolling(frame: DataFrame, keys: Sequence[str], cols: Sequence[str], wind
     return frame.withColumns(rolled(cols, windows, keys, day, stats, min_periods))
 
 
+def unit_prices(lines: DataFrame, by: Sequence[str], usage: str = "usage_quantity", cost: str = "pre_tax_cost") -> DataFrame:
+    """by, unit_price: cost over usage of lines that have both; a group without such lines has no row."""
+    ok = lines.where((F.col(usage) > 0) & (F.col(cost) > 0))
+    return ok.groupBy(*by).agg(F.try_divide(F.sum(cost).cast("double"), F.sum(usage).cast("double")).alias("unit_price"))
+
+
 def price_drift(lines: DataFrame, keys: Sequence[str], meter: str = "meter", recent: int = 14, prior: int = 28, day: str = "run_date", usage: str = "usage_quantity", cost: str = "pre_tax_cost") -> DataFrame:
-    """keys, day, effective_price_drift: ln of the recent over the prior mean unit price, of meters weighted by trailing cost.
+    """keys, day, price_drift: ln of the recent over the prior mean unit price, of meters weighted by trailing cost.
 
     Windows are calendar days: recent ends today, prior ends before it, the weight is the cost of the last `prior` days.
     Half of either window's days must be priced. A meter counts on every day between its first and last priced one.
@@ -82,4 +88,4 @@ def price_drift(lines: DataFrame, keys: Sequence[str], meter: str = "meter", rec
     enough = (F.count("p").over(now) >= max(2, recent // 2)) & (F.count("p").over(then) >= max(2, prior // 2))
     drift = F.when(enough, F.ln(F.avg("p").over(now) / F.avg("p").over(then)))
     per = every.select(*keys, day, drift.alias("d"), F.coalesce(F.sum("c").over(weight), F.lit(0.0)).alias("w")).where("d IS NOT NULL")
-    return per.groupBy(*keys, day).agg(F.when(F.sum("w") > 0, F.sum(F.col("d") * F.col("w")) / F.sum("w")).alias("effective_price_drift"))
+    return per.groupBy(*keys, day).agg(F.when(F.sum("w") > 0, F.sum(F.col("d") * F.col("w")) / F.sum("w")).alias("price_drift"))

@@ -1,7 +1,7 @@
 """Quantile gradient boosting.
 
 Trees split on binned features; a leaf's value is the quantile of its rows' residuals (for the mean booster, their mean).
-Missing values have a bin of their own. The trees are grown on the driver from a bounded sample of the training rows
+Missing values have a bin of their own, and so has every label. The trees are grown on the driver from a bounded sample of the training rows
 (`max_rows` of smallest hash); every row is scored on the executors.
 """
 
@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from math import factorial
 
 import numpy as np
 import pandas as pd
@@ -25,7 +26,7 @@ TAIL_DAYS, MIN_TAIL = 60, 30
 
 @dataclass
 class Booster:
-    """bias and trees of (features, cuts, values), breadth first; a row goes right if its bin is above the cut."""
+    """bias and trees of (features, cuts, values, training rows of each leaf), breadth first; a row goes right if its bin is above the cut."""
 
     bias: float
     trees: list
@@ -33,7 +34,7 @@ class Booster:
 
     def predict(self, bins: np.ndarray) -> np.ndarray:
         out, rows = np.full(len(bins), self.bias), np.arange(len(bins))
-        for feature, cut, value in self.trees:
+        for feature, cut, value, _ in self.trees:
             node = np.zeros(len(bins), int)
             feature, cut, value = np.asarray(feature, int), np.asarray(cut, int), np.asarray(value, float)
             while node.size and node[0] < len(feature):
@@ -42,46 +43,61 @@ class Booster:
         return out
 
     def contributions(self, bins: np.ndarray) -> np.ndarray:
-        """(rows, features + 1): how each split on a row's path moves the mean of the leaves below it; the last column is the start. They add up to the prediction."""
+        """(rows, features + 1): Shapley values of each row's features, then the expected value; they add up to the prediction.
+
+        The value of a set of features is the tree's mean where splits on others are passed by the shares of training rows
+        that went either way. A tree of few levels has few features, so their sets are all gone through.
+        """
         n_feat = len(self.gain)
         out = np.zeros((len(bins), n_feat + 1))
         out[:, -1] = self.bias
-        rows = np.arange(len(bins))
-        for feature, cut, value in self.trees:
-            feature, cut = np.asarray(feature, int), np.asarray(cut, int)
-            level = np.asarray(value, float)
-            means = [level]
-            while len(means[0]) > 1:
-                means.insert(0, means[0].reshape(-1, 2).mean(1))
-            flat = np.concatenate(means)
-            out[:, -1] += flat[0]
-            node = np.zeros(len(bins), int)
-            while node.size and node[0] < len(feature):
-                nxt = 2 * node + 1 + (bins[rows, feature[node]] > cut[node])
-                np.add.at(out, (rows, feature[node]), flat[nxt] - flat[node])
-                node = nxt
+        for feature, cut, value, cover in self.trees:
+            inner = len(feature)
+            used = sorted({feature[i] for i in range(inner) if cut[i] < np.iinfo(np.int32).max})
+            rows_in = [0.0] * inner + list(map(float, cover))
+            for i in range(inner - 1, -1, -1):
+                rows_in[i] = rows_in[2 * i + 1] + rows_in[2 * i + 2]
+
+            def mean(x: np.ndarray, known: int, node: int = 0) -> float:
+                if node >= inner:
+                    return value[node - inner]
+                left = 2 * node + 1
+                if feature[node] in used and known >> used.index(feature[node]) & 1:
+                    return mean(x, known, left + int(x[feature[node]] > cut[node]))
+                share = rows_in[left] / rows_in[node] if rows_in[node] else 0.5
+                return share * mean(x, known, left) + (1 - share) * mean(x, known, left + 1)
+
+            m = len(used)
+            for r, x in enumerate(bins):
+                by_set = [mean(x, s) for s in range(1 << m)]
+                out[r, -1] += by_set[0]
+                for j, f in enumerate(used):
+                    for s in range(1 << m):
+                        if not s >> j & 1:
+                            k = s.bit_count()
+                            out[r, f] += factorial(k) * factorial(m - k - 1) / factorial(m) * (by_set[s | 1 << j] - by_set[s])
         return out
 
     def to_json(self) -> dict:
-        return {"bias": self.bias, "gain": list(map(float, self.gain)), "trees": [[list(map(int, f)), list(map(int, c)), list(map(float, v))] for f, c, v in self.trees]}
+        return {"bias": self.bias, "gain": list(map(float, self.gain)), "trees": [[list(map(int, f)), list(map(int, c)), list(map(float, v)), list(map(int, n))] for f, c, v, n in self.trees]}
 
     @classmethod
     def from_json(cls, x: dict) -> Booster:
         return cls(x["bias"], x["trees"], x["gain"])
 
 
-def boost(bins: np.ndarray, y: np.ndarray, tau: float | None, rounds: int = 60, depth: int = 3, rate: float = 0.1, n_bins: int = 65, valid: np.ndarray | None = None, patience: int = 15) -> Booster:
+def boost(bins: np.ndarray, y: np.ndarray, tau: float | None, rounds: int = 60, depth: int = 3, rate: float = 0.1, valid: np.ndarray | None = None, patience: int = 15) -> Booster:
     """tau None: least squares. valid marks rows that only decide when to stop; the best number of rounds is kept."""
     fit = ~valid if valid is not None else np.ones(len(y), bool)
     loss = (lambda d: (d**2).mean()) if tau is None else (lambda d: np.maximum(tau * d, (tau - 1) * d).mean())
     start = float(y[fit].mean() if tau is None else np.quantile(y[fit], tau))
     f, b, trees, gain, best, best_at = np.full(len(y), start), bins, [], np.zeros(bins.shape[1]), np.inf, 0
-    n_inner = (1 << depth) - 1
+    n_inner, n_bins, never = (1 << depth) - 1, int(bins.max(initial=0)) + 1, int(np.iinfo(np.int32).max)
     for r in range(rounds):
         d = y - f
         g = d if tau is None else np.where(d > 0, tau, tau - 1)
         node = np.zeros(len(y), int)
-        feature, cut = np.zeros(n_inner, int), np.full(n_inner, n_bins)
+        feature, cut = np.zeros(n_inner, int), np.full(n_inner, never)
         for lvl in range(depth):
             lo, k = (1 << lvl) - 1, 1 << lvl
             top = np.full(k, 1e-12)
@@ -98,7 +114,7 @@ def boost(bins: np.ndarray, y: np.ndarray, tau: float | None, rounds: int = 60,
                 top[m] = v[m]
                 feature[lo : lo + k][m], cut[lo : lo + k][m] = j, at[m]
             for i in range(k):
-                if cut[lo + i] < n_bins:
+                if cut[lo + i] < never:
                     gain[feature[lo + i]] += top[i]
             node = 2 * node + 1 + (b[np.arange(len(y)), feature[node]] > cut[node])
         leaf = node - n_inner
@@ -107,7 +123,7 @@ def boost(bins: np.ndarray, y: np.ndarray, tau: float | None, rounds: int = 60,
             x = d[fit & (leaf == i)]
             value[i] = rate * (x.mean() if tau is None else np.quantile(x, tau))
         f = f + value[leaf]
-        trees.append((feature.tolist(), cut.tolist(), value.tolist()))
+        trees.append((feature.tolist(), cut.tolist(), value.tolist(), np.bincount(leaf[fit], minlength=n_inner + 1).tolist()))
         if valid is not None and valid.any():
             now = loss(y[valid] - f[valid])
             if now < best - 1e-12:
@@ -132,7 +148,7 @@ class QuantileGBM:
         for j, c in enumerate(self.features):
             if c in self.categorical:
                 at = {v: i + 1 for i, v in enumerate(self.levels[c])}
-                out[:, j] = [min(at.get(v, 0), 64) for v in x[c]]
+                out[:, j] = [at.get(v, 0) for v in x[c]]
             else:
                 v = pd.to_numeric(x[c], errors="coerce").to_numpy(float)
                 out[:, j] = np.where(np.isnan(v), 0, 1 + np.searchsorted(self.edges[c], np.nan_to_num(v)))

@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..config import LENS_ERAS
+
 SOURCES = ["lineitem", "supplier", "nation", "part", "region"]
 
 
@@ -44,7 +46,7 @@ def lens_sql(name: str, dialect: str, t=lambda n: n) -> str:
         return f"SELECT {cols} FROM ({one}) a UNION ALL SELECT {cols} FROM ({one}) b WHERE k % 97 = 1"
     if name == "run_status":
         e = _day_number("d", dialect)
-        days = f"SELECT DISTINCT cast(l_shipdate AS date) AS d, n_regionkey AS r FROM {t('lineitem')} JOIN {t('supplier')} ON l_suppkey = s_suppkey JOIN {t('nation')} ON s_nationkey = n_nationkey"
+        days = f"SELECT DISTINCT cast(l_shipdate AS date) AS d, n_regionkey AS r FROM {t('lineitem')} JOIN {t('supplier')} ON l_suppkey = s_suppkey JOIN {t('nation')} ON s_nationkey = n_nationkey WHERE l_shipdate >= DATE '{LENS_ERAS.gated}'"  # loads are logged from the gate's era on
         row = lambda kind, status, hour, where: f"SELECT d AS run_date, concat('sub-', r) AS subscription_id, '{kind}' AS run_type, {status} AS status, cast(d AS timestamp) + INTERVAL '{hour}' HOUR AS update_time FROM days WHERE {where}"
         return f"""WITH days AS ({days})
       {row('Cost', "'Complete'", 10, 'true')} UNION ALL {row('Cost', "'Error'", 8, f'({e} + r) % 5 = 0')}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import html
 import importlib
 from collections.abc import Callable, Mapping, Sequence
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,40 +17,69 @@ from ..operators import baselines, calibrate, checks, decompose, detector, featu
 from ..operators.gbm import QuantileGBM
 from ..sources import snapshot
 from ..sources.ledger import ModelCard, PredictionLedger, load_bundle
+from ..sources.scratch import stored
 from . import frames as fr
 
 
 def build(tables: dict[str, DataFrame], eras: Eras = Eras(), check: bool = True) -> dict[str, Frame]:
+    """The three frames, each stored in the shared folder: what reads a frame starts from its rows, not from its plan."""
     lack = snapshot.missing_tables(tables)
     if lack:
         raise DataQualityError(f"tables are missing: {lack}")
     if check:
         checks.assert_one_write(tables["raw_cost"], "billing", None)
-    return {name: f(tables, eras, check=check) for name, f in fr.BUILDERS.items()}
+    out = {name: f(tables, eras, check=check) for name, f in fr.BUILDERS.items()}
+    for f in out.values():
+        f.df = stored(f.df)
+    return out
 
 
-def backtest(frame: Frame, name: str, models: Sequence[str] = baselines.MODELS, regimes: Sequence[str] = (), min_train_days: int = 180) -> tuple[DataFrame, DataFrame]:
-    """(ledger, metrics) of the baselines on the frame's honest slice."""
+def backtest(frame: Frame, name: str, models: Sequence[str] = baselines.MODELS, regimes: Sequence[str] = baselines.DEFAULT_REGIMES, min_train_days: int = 180, gbm: bool = False, rounds: int = 60) -> tuple[DataFrame, DataFrame]:
+    """(ledger, metrics) of the baselines, and of the quantile GBM as it is and calibrated if asked, on the frame's honest slice. The ledger is stored."""
     mask = fr.MASKS.get(name)
     rows = baselines.prepare(frame.df, regimes, F.expr(mask) if mask else None)
     origins = baselines.monthly_origins(rows, min_train_days)
     if not origins:
         raise BacktestError(f"{name}: no month follows {min_train_days} days of history")
-    ledger = baselines.walk_forward(rows, frame.spec, origins, models)
+    ledger = baselines.walk_forward(rows, frame.spec, origins, models).withColumn("pred_mean", F.lit(None).cast("double"))
+    if gbm:
+        ledger = ledger.unionByName(gbm_forecaster(rows, frame.spec, frame.feature_cols, frame.categorical_cols, origins, rounds, conformal=True)[0])
+    ledger = stored(ledger)
     return ledger, metrics.evaluate(ledger, frame.spec.group_keys)
 
 
-def gbm_forecaster(frame: DataFrame, spec: FrameSpec, feats: Sequence[str], categorical: Sequence[str], origins: Sequence[date], rounds: int = 60) -> DataFrame:
-    """The ledger of a quantile GBM refitted at each origin; origins are few, each is a bounded fit."""
-    out = None
+def gbm_forecaster(frame: DataFrame, spec: FrameSpec, feats: Sequence[str], categorical: Sequence[str], origins: Sequence[date], rounds: int = 60, conformal: bool = False) -> tuple[DataFrame, list[dict]]:
+    """The ledger of a quantile GBM refitted at each origin, and a report of each origin's calibration; origins are few, each is a bounded fit.
+
+    conformal adds the same predictions with calibrated intervals: a model fitted without the last TAIL_DAYS days is held
+    against them. Too thin a tail leaves the interval as it is, and the report says so.
+    """
+    day = F.col(spec.date_col)
+    own = frame.select(spec.date_col, *dict.fromkeys([*spec.group_keys, *feats]), F.col(spec.target).cast("double").alias("y_true"))
+    out, reports = None, []
+
+    def predicted(model: QuantileGBM, rows: DataFrame, o: date) -> DataFrame:
+        return model.predict(rows).select(F.col(spec.date_col).alias("run_date"), *spec.group_keys, F.lit("quantile_gbm").alias("model"), F.lit(o).alias("origin"), "y_true", "q05", "q50", "q95", "pred_mean")
+
     for o in origins:
-        until = baselines._next_month(o)
-        day = F.col(spec.date_col)
-        model = QuantileGBM(feats, categorical, rounds=rounds).fit(frame.where(day < F.lit(o)), spec)
-        p = model.predict(frame.where((day >= F.lit(o)) & (day < F.lit(until))).select(spec.date_col, *dict.fromkeys([*spec.group_keys, *feats]), F.col(spec.target).cast("double").alias("y_true")))
-        one = p.select(F.col(spec.date_col).alias("run_date"), *spec.group_keys, F.lit("quantile_gbm").alias("model"), F.lit(o).alias("origin"), "y_true", "q05", "q50", "q95", "pred_mean")
-        out = one if out is None else out.unionByName(one)
-    return out
+        train, test = frame.where(day < F.lit(o)), own.where((day >= F.lit(o)) & (day < F.lit(baselines._next_month(o))))
+        raw = predicted(QuantileGBM(feats, categorical, rounds=rounds).fit(train, spec), test, o)
+        made = [raw]
+        if conformal:
+            cut = train.agg(F.max(day)).first()[0] - timedelta(days=calibrate.TAIL_DAYS - 1)
+            n = train.where(day >= F.lit(cut)).count()
+            report = {"origin": str(o), "tail_rows": n, "calibrated": n >= calibrate.MIN_GROUP_SCORES and train.where(day < F.lit(cut)).limit(1).count() > 0}
+            wide = raw
+            if report["calibrated"]:
+                early = QuantileGBM(feats, categorical, rounds=rounds).fit(train.where(day < F.lit(cut)), spec)
+                tail = stored(predicted(early, own.where((day >= F.lit(cut)) & (day < F.lit(o))), o))
+                wide = calibrate.apply_margins(raw, stored(calibrate.margins(tail, spec.group_keys)), spec.group_keys)
+                report["raw_coverage_on_tail"] = calibrate.coverage(tail).first().coverage
+            reports.append(report)
+            made.append(wide.withColumn("model", F.lit("conformal_quantile_gbm")))
+        for one in made:
+            out = one if out is None else out.unionByName(one)
+    return out, reports
 
 
 def models_for(conformal: bool = True) -> dict[str, Callable]:
@@ -70,15 +99,30 @@ def run_models(frame: DataFrame, spec: FrameSpec, models: Mapping[str, Callable]
     return out
 
 
-def detect(ledgers: Mapping[str, tuple[DataFrame, Sequence[str]]], preferred: Sequence[str], tables: dict[str, DataFrame], team_frame: DataFrame | None = None, previous: DataFrame | None = None, config: DetectorConfig = DetectorConfig(), score_days: int | None = 30) -> DataFrame:
-    """Alerts from the first preferred model that each ledger has."""
-    chosen = {}
+#: Whose ledger the detector reads: the first of these that there is.
+LEDGER_PREFERENCE = ("quantile_gbm", "rolling_median", "seasonal_naive", "three_month_trend")
+
+
+def detect(ledgers: Mapping[str, tuple[DataFrame, Sequence[str]]], tables: dict[str, DataFrame], team_frame: DataFrame | None = None, previous: DataFrame | None = None, config: DetectorConfig = DetectorConfig(), score_days: int | None = 30, preferred: Sequence[str] = LEDGER_PREFERENCE) -> DataFrame:
+    """Alerts of the last score_days days of all ledgers (all days if none), from the first preferred model that each ledger has; stored."""
+    chosen, last = {}, None
     for name, (ledger, keys) in ledgers.items():
-        have = {r[0] for r in ledger.select("model").distinct().collect()}
+        have = {r.model: r.last for r in ledger.groupBy("model").agg(F.max("run_date").alias("last")).collect()}
         pick = next((m for m in preferred if m in have), None)
         if pick:
-            chosen[name] = (ledger.where(F.col("model") == pick), keys)
-    return detector.run_detector(chosen, tables.get("job_cost"), team_frame, previous, config, score_days)
+            chosen[f"frame_{name}"] = (ledger.where(F.col("model") == pick), keys)
+            last = max(filter(None, (last, have[pick])), default=None)
+    since = last - timedelta(days=score_days - 1) if score_days and last else None
+    return detector.triaged(stored(detector.run_detector(chosen, tables.get("job_cost"), team_frame, config, previous, since)))
+
+
+def manifest_of(frames: Mapping[str, Frame]) -> dict:
+    """What a Parquet file of a frame does not say: target, keys, features, labels, origin and reports."""
+    out = {}
+    for name, f in frames.items():
+        reports = {k: [r.asDict() for r in v.collect()] for k, v in f.reports.items()}  # a few counts each
+        out[f"frame_{name}"] = {"rows": f.df.count(), "target": f.spec.target, "group_keys": f.spec.group_keys, "feature_cols": f.feature_cols, "categorical_cols": f.categorical_cols, "train_origin": f.train_origin and str(f.train_origin), **{f"{k}_report": v for k, v in reports.items()}}
+    return out
 
 
 # Serving.
@@ -90,19 +134,23 @@ def resolve(path: str) -> Callable[[DataFrame], DataFrame]:
     return getattr(importlib.import_module(module), name)
 
 
-def design(frame: DataFrame, card: ModelCard) -> DataFrame:
-    """The frame as the model expects it: shares filled in, labels frozen, types equal."""
-    out, _ = features.reindexed_shares(frame, card.feature_names)
+def design(frame: DataFrame, card: ModelCard) -> tuple[DataFrame, dict]:
+    """The frame as the model expects it: shares filled in, labels frozen, types equal; and what was unseen: labels by column, shares."""
+    out, novel = features.reindexed_shares(frame, card.feature_names)
+    unseen: dict[str, int] = {}
     if card.levels:
-        out, _ = features.frozen_levels(out, card.levels)
+        out, unseen = features.frozen_levels(out, card.levels)
     out = out.withColumns({c: F.col(c).cast(t) for c, t in card.dtypes.items() if c in out.columns})
     checks.assert_schema(out, card.dtypes, "design matrix")
     checks.assert_no_unlagged(card.feature_names, card.target, "model card")
-    return out
+    # the calendar and other whole numbers of the day itself; lags may have nulls where a series begins
+    whole = [c for c, t in card.dtypes.items() if t in ("tinyint", "smallint", "int", "bigint", "boolean") and "_lag" not in c and "_roll" not in c]
+    checks.assert_no_new_nulls(out, whole, "design matrix")
+    return out, {"unseen_levels": unseen, "novel_shares": novel}
 
 
-def score(spark: SparkSession, bundle: str, tables: dict[str, DataFrame], ledger: PredictionLedger, manifest: str, builder: Callable[[dict[str, DataFrame]], Frame], featurize: str | None = None, now: datetime | None = None) -> dict:
-    """Score the days after the watermark and append them. Whatever stops it is in the manifest before it raises."""
+def score(spark: SparkSession, bundle: str, tables: dict[str, DataFrame], ledger: PredictionLedger, manifest: str, builder: Callable[[dict[str, DataFrame]], Frame], featurize: str | None = None, now: datetime | None = None, ignore_watermark: bool = False) -> dict:
+    """Score the days after the watermark, or all, and append them. Whatever stops it is in the manifest before it raises."""
     now = now or datetime.now(timezone.utc)
     info: dict = {"scored_at": now.isoformat(), "bundle": bundle, "status": "started"}
 
@@ -124,20 +172,24 @@ def score(spark: SparkSession, bundle: str, tables: dict[str, DataFrame], ledger
         frame = builder(tables)
     except DataQualityError as e:
         stop(str(e))
-    df = frame.df if featurize is None else frame.df.transform(resolve(featurize))
-    mark = ledger.watermark(card.version)
+    df = stored(frame.df if featurize is None else frame.df.transform(resolve(featurize)))
+    mark = None if ignore_watermark else ledger.watermark(card.version)
     rows = df.where("data_regime = 'featured_gated' AND gate_state = 'gated_complete'")
     rows = rows.where(F.col("run_date") > F.lit(mark)) if mark else rows
     if not rows.limit(1).count():
         stop("no complete day is newer than the watermark", soft=True)
-    preds = QuantileGBM.from_state(boosters).predict(design(rows, card).select("run_date", *dict.fromkeys([*card.group_keys, *card.feature_names])))
+    try:
+        ready, seen = design(rows, card)
+    except DataQualityError as e:
+        stop(str(e))
+    preds = QuantileGBM.from_state(boosters).predict(ready.select("run_date", *dict.fromkeys([*card.group_keys, *card.feature_names])))
     preds = preds.select("run_date", *card.group_keys, "q05", "q50", "q95", "pred_mean")
     if margins is not None:
         preds = calibrate.apply_additive(preds, margins, card.group_keys)
     at = ledger.append(preds, card.version, now)
     n, last = spark.read.parquet(at).agg(F.count("*"), F.max("run_date")).first()
     ledger.advance(card.version, last)
-    info |= {"status": "scored", "rows": n, "last_day": str(last), "path": at}
+    info |= {"status": "scored", "frame": card.frame, "version": card.version, "rows": n, "last_day": str(last), "path": at, **seen}
     snapshot.write_json(spark, manifest, info)
     return info
 
@@ -187,22 +239,56 @@ def _table(df: DataFrame, rows: int) -> str:
     return f"<table><tr>{head}</tr>{body}</table>"
 
 
-def _line(points: Sequence[tuple[float, float]], width: int = 640, height: int = 120) -> str:
-    if not points:
-        return ""
-    xs, ys = [p[0] for p in points], [p[1] for p in points]
-    fx = lambda x: 4 + (x - min(xs)) / ((max(xs) - min(xs)) or 1) * (width - 8)
-    fy = lambda y: height - 4 - (y - min(ys)) / ((max(ys) - min(ys)) or 1) * (height - 8)
-    path = " ".join(f"{fx(x):.1f},{fy(y):.1f}" for x, y in points)
-    return f'<svg width="{width}" height="{height}"><polyline fill="none" stroke="#336" points="{path}"/></svg>'
+#: Points that a chart draws.
+CHART_POINTS = 2000
 
 
-def report(title: str, sections: Mapping[str, DataFrame], series: Mapping[str, DataFrame] | None = None, rows: int = 50) -> str:
-    """Self-contained HTML: up to `rows` rows of each section, a line for each series (x, y; up to 2000 points)."""
+def _chart(rows: Sequence[Mapping], width: int = 640, height: int = 160) -> str:
+    """Values by day; with q05, q50 and q95 the band, the median dashed, and a thin line at each origin."""
+    if not rows:
+        return ""
+    num = lambda v: None if v is None else float(v)
+    x = [r["x"].toordinal() if hasattr(r["x"], "toordinal") else float(r["x"]) for r in rows]
+    cols = {c: [num(r.get(c)) for r in rows] for c in ("y", "q05", "q50", "q95")}
+    known = [v for c in cols.values() for v in c if v is not None] or [0.0]
+    fx = lambda v: 4 + (v - min(x)) / ((max(x) - min(x)) or 1) * (width - 8)
+    fy = lambda v: height - 4 - (v - min(known)) / ((max(known) - min(known)) or 1) * (height - 8)
+    line = lambda c: " ".join(f"{fx(a):.1f},{fy(b):.1f}" for a, b in zip(x, cols[c]) if b is not None)
+    out = [f'<line x1="{fx(o):.1f}" x2="{fx(o):.1f}" y1="0" y2="{height}" stroke="#ccc"/>' for o in sorted({r["origin"].toordinal() for r in rows if r.get("origin")}) if min(x) <= o <= max(x)]
+    band = [(a, lo, hi) for a, lo, hi in zip(x, cols["q05"], cols["q95"]) if lo is not None and hi is not None]
+    if band:
+        edge = [f"{fx(a):.1f},{fy(lo):.1f}" for a, lo, _ in band] + [f"{fx(a):.1f},{fy(hi):.1f}" for a, _, hi in reversed(band)]
+        out += [f'<polygon class="band" fill="#336" fill-opacity="0.15" points="{" ".join(edge)}"/>', f'<polyline fill="none" stroke="#336" stroke-dasharray="4 3" points="{line("q50")}"/>']
+    out.append(f'<polyline fill="none" stroke="#000" points="{line("y")}"/>')
+    return f'<svg width="{width}" height="{height}">{"".join(out)}</svg>'
+
+
+def _bars(rows: Sequence[tuple[str, float | None]], mark: float | None = None, width: int = 640) -> str:
+    """A bar for each label, and a dashed line at `mark`."""
+    top = max([abs(v) for _, v in rows if v is not None] + ([mark] if mark else []) + [1e-12])
+    at = lambda v: 160 + max(v, 0) / top * (width - 240)
+    out = [f'<text x="0" y="{20 * i + 14}">{html.escape(n)}</text>' + ("" if v is None else f'<rect x="160" y="{20 * i + 3}" width="{at(v) - 160:.1f}" height="13" fill="#336"/><text x="{at(v) + 4:.1f}" y="{20 * i + 14}">{v:.4g}</text>') for i, (n, v) in enumerate(rows)]
+    if mark is not None:
+        out.append(f'<line x1="{at(mark):.1f}" x2="{at(mark):.1f}" y1="0" y2="{20 * len(rows)}" stroke="#a33" stroke-dasharray="4 3"/>')
+    return f'<svg width="{width}" height="{20 * len(rows) + 4}">{"".join(out)}</svg>'
+
+
+def forecast_chart(ledger: DataFrame, group: Mapping[str, object]) -> DataFrame:
+    """One group's ledger rows of one model as a series with its interval."""
+    return ledger.where(decompose.where_equal(group)).select(F.col("run_date").alias("x"), F.col("y_true").alias("y"), "q05", "q50", "q95", "origin").orderBy("x")
+
+
+def report(title: str, sections: Mapping[str, DataFrame], series: Mapping[str, DataFrame] | None = None, rows: int = 50, bars: Mapping[str, tuple[DataFrame, float | None]] | None = None) -> str:
+    """Self-contained HTML: up to `rows` rows of each section, bars (label, value) with a mark, and a chart for each series.
+
+    A series has x and y, or its first two columns are taken as such, and may have q05, q50, q95 and origin; up to CHART_POINTS points.
+    """
     parts = [f"<h2>{html.escape(n)}</h2>{_table(d, rows)}" for n, d in sections.items()]
+    for n, (d, mark) in (bars or {}).items():
+        parts.append(f"<h2>{html.escape(n)}</h2>{_bars([(str(r[0]), None if r[1] is None else float(r[1])) for r in d.limit(rows).collect()], mark)}")
     for n, d in (series or {}).items():
-        pts = [(float(r[0].toordinal() if hasattr(r[0], "toordinal") else r[0]), float(r[1] or 0)) for r in d.limit(2000).collect()]
-        parts.append(f"<h2>{html.escape(n)}</h2>{_line(sorted(pts))}")
+        named = d if "x" in d.columns else d.toDF("x", "y", *d.columns[2:])
+        parts.append(f"<h2>{html.escape(n)}</h2>{_chart(sorted((r.asDict() for r in named.limit(CHART_POINTS).collect()), key=lambda r: r['x']))}")
     return f"<!doctype html><meta charset='utf-8'><title>{html.escape(title)}</title><style>body{{font:14px sans-serif}}td,th{{padding:2px 8px;text-align:left}}</style><h1>{html.escape(title)}</h1>{''.join(parts)}"
 
 

@@ -95,7 +95,7 @@ def _(t):
     return t["environment_config"].select("subscription_id", scalars.region("subscription_name").alias("region"))
 
 
-SEGMENT = "CASE WHEN lower(resource_type) LIKE 'microsoft.compute/virtualmachine%' OR meter_category IN ('Virtual Machines', 'Virtual Machines Licenses') OR service_name IN ('Virtual Machines', 'Virtual Machines Licenses') THEN 'vm_compute' ELSE 'platform' END"
+SEGMENT = "CASE WHEN lower(resource_type) LIKE 'microsoft.compute/virtualmachines%' OR meter_category IN ('Virtual Machines', 'Virtual Machines Licences') OR service_name = 'Virtual Machines' THEN 'vm_compute' ELSE 'platform' END"
 
 
 @query("prj5_segment_cost", ["raw_cost"], f"SELECT run_date, subscription_id, {SEGMENT} AS segment, {d6('sum(pre_tax_cost)')} AS cost, count(*) AS line_count FROM raw_cost WHERE pool_name IS NULL GROUP BY 1, 2, 3")
@@ -246,22 +246,22 @@ def _range(lo: int, hi: int) -> str:
   s AS (SELECT subscription_id, m, cast(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS date) AS run_date FROM e),
   x AS (SELECT s.*, c, c / u AS p, date_diff('day', DATE '1970-01-01', s.run_date) AS n FROM s LEFT JOIN p USING (subscription_id, m, run_date)),
   w AS (SELECT run_date, subscription_id, CASE WHEN count(p) OVER {_range(-13, 0)} >= 7 AND count(p) OVER {_range(-41, -14)} >= 14 THEN ln(avg(p) OVER {_range(-13, 0)} / avg(p) OVER {_range(-41, -14)}) END AS d, coalesce(sum(c) OVER {_range(-27, 0)}, 0) AS w FROM x)
-  SELECT run_date, subscription_id, {d6('CASE WHEN sum(w) > 0 THEN sum(d * w) / sum(w) END')} AS effective_price_drift FROM w WHERE d IS NOT NULL GROUP BY 1, 2""")
+  SELECT run_date, subscription_id, {d6('CASE WHEN sum(w) > 0 THEN sum(d * w) / sum(w) END')} AS price_drift FROM w WHERE d IS NOT NULL GROUP BY 1, 2""")
 def _(t):
     return rounded(factory.price_drift(t["raw_cost"], ["subscription_id"], "meter_sub_category"))
 
 
-@query("agg12_meter_price", ["raw_cost"], f"SELECT run_date, meter, {d6('cast(sum(pre_tax_cost) AS double) / nullif(sum(usage_quantity), 0) + 1e-8')} AS unit_price FROM raw_cost WHERE usage_quantity > 0 AND pre_tax_cost > 0 GROUP BY 1, 2")
+@query("agg12_meter_price", ["raw_cost"], f"SELECT run_date, meter, cast(sum(pre_tax_cost) AS double) / nullif(sum(usage_quantity), 0) AS unit_price FROM raw_cost WHERE usage_quantity > 0 AND pre_tax_cost > 0 GROUP BY 1, 2")
 def _(t):
-    return rounded(t["raw_cost"].where(gate.priceable()).groupBy("run_date", "meter").agg((F.try_divide(F.sum("pre_tax_cost").cast("double"), F.sum("usage_quantity")) + 1e-8).alias("unit_price")))  # off ties, which the engines round differently
+    return factory.unit_prices(t["raw_cost"], ["run_date", "meter"])  # one division of exact sums, so not rounded
 
 
 # Teams.
 
 
 TEAM = "coalesce(job_team, '__NULL_TEAM__')"
-TEAM_DAYS = GATE + f""", per AS (SELECT run_date, team, sum(cost) AS cost, bool_and(gate_state = 'gated_complete') AS g FROM (SELECT run_date, {TEAM} AS team, cost, {STATE} AS gate_state FROM job_cost LEFT JOIN gate USING (run_date, subscription_id)) WHERE gate_state <> 'gated_failed' GROUP BY 1, 2),
-teams AS (SELECT run_date, team AS job_team, cost, coalesce(cast(sum(cost) FILTER (WHERE team = 'Unknown') OVER (PARTITION BY run_date) AS double), 0) / nullif(cast(sum(cost) OVER (PARTITION BY run_date) AS double), 0) AS unknown_pct, bool_and(g) OVER (PARTITION BY run_date) AS fully_gated FROM per)"""
+TEAM_DAYS = GATE + f""", per AS (SELECT run_date, team, sum(cost) AS cost, bool_and(gate_state = 'gated_complete') AS g FROM (SELECT run_date, {TEAM} AS team, cost, {STATE} AS gate_state FROM job_cost LEFT JOIN gate USING (run_date, subscription_id)) WHERE gate_state <> 'gated_failed' AND {REGIME} <> 'pre_coverage' GROUP BY 1, 2),
+teams AS (SELECT run_date, team AS job_team, cost, coalesce(cast(sum(cost) FILTER (WHERE team IN ('Unknown', '__NULL_TEAM__')) OVER (PARTITION BY run_date) AS double), 0) / nullif(cast(sum(cost) OVER (PARTITION BY run_date) AS double), 0) AS unknown_pct, bool_and(g) OVER (PARTITION BY run_date) AS fully_gated FROM per)"""
 
 
 @query("agg3_team_days", ["job_cost", "run_status"], TEAM_DAYS + f" SELECT run_date, job_team, {d6('cost')} AS cost, {d6('coalesce(unknown_pct, 0)')} AS unknown_pct, fully_gated FROM teams")
@@ -271,15 +271,23 @@ def _(t):
 
 @query("pad3_team_grid", ["job_cost", "run_status"], TEAM_DAYS + f" SELECT d.run_date, k.job_team, {d6('coalesce(cost, 0)')} AS cost, cost IS NULL AS padded FROM (SELECT DISTINCT run_date FROM teams) d CROSS JOIN (SELECT DISTINCT job_team FROM teams) k LEFT JOIN teams USING (run_date, job_team)")
 def _(t):
-    per = frames.team_days(t, ERAS).select("run_date", "job_team", "cost")
-    grid = per.select("run_date").distinct().crossJoin(F.broadcast(per.select("job_team").distinct()))
-    out = grid.join(per, ["run_date", "job_team"], "left")
-    return rounded(out.select("run_date", "job_team", F.coalesce("cost", F.lit(0)).alias("cost"), F.col("cost").isNull().alias("padded")))
+    return rounded(frames.team_grid(frames.team_days(t, ERAS)).select("run_date", "job_team", "cost", "padded"))
 
 
-@query("det4_attribution_days", ["job_cost", "run_status"], TEAM_DAYS + " SELECT DISTINCT run_date, 'above' AS direction, 'attribution' AS scope, 'attribution' AS layer, substr(sha1('attribution|attribution|' || cast(run_date AS varchar) || '|above'), 1, 12) AS alert_id FROM teams WHERE unknown_pct > 0.2")
+SEVERITY = "CASE WHEN impact < 50 THEN 'low' WHEN impact < 500 AND score >= 1 THEN 'medium' WHEN score >= 1 THEN 'high' WHEN score >= 0.25 THEN 'medium' ELSE 'low' END"
+
+
+def alert_sql(source: str, layer: str, metric: str, severity: str = SEVERITY) -> str:
+    """The columns of alerts from source (run_date, scope, direction, observed, expected, lo, hi, score, impact), but for the message."""
+    return f"""SELECT substr(sha1('{layer}|' || scope || '|' || cast(run_date AS varchar) || '|' || direction), 1, 12) AS alert_id, run_date, '{layer}' AS layer, scope, {metric} AS metric, {', '.join(f'{d6(c)} AS {c}' for c in ('observed', 'expected', 'lo', 'hi', 'score', 'impact'))}, direction, {severity} AS severity, 'new' AS status FROM {source}"""
+
+
+ATTRIBUTION_SQL = """, un AS (SELECT DISTINCT run_date, 'estate' AS scope, 'above' AS direction, unknown_pct AS observed, 0.2::double AS expected, NULL AS lo, NULL AS hi, unknown_pct / 0.2::double - 1 AS score, NULL AS impact FROM teams WHERE unknown_pct > 0.2::double)"""
+
+
+@query("det4_attribution_days", ["job_cost", "run_status"], TEAM_DAYS + ATTRIBUTION_SQL + " " + alert_sql("un", "attribution", "'unknown_pct'"))
 def _(t):
-    return detector.attribution_alerts(frames.team_days(t, ERAS)).select("run_date", "direction", "scope", "layer", "alert_id")
+    return rounded(detector.attribution_alerts(frames.team_days(t, ERAS)).drop("message"))
 
 
 # Integrity.
@@ -298,8 +306,8 @@ def _(t):
 @query("ast5_partition_identity", ["raw_cost"], f"SELECT {d6('sum(pre_tax_cost)')} AS total, {d6('abs(sum(pre_tax_cost) - sum(pre_tax_cost) FILTER (WHERE pool_name IS NULL) - sum(pre_tax_cost) FILTER (WHERE pool_name IS NOT NULL))')} AS gap FROM raw_cost")
 def _(t):
     raw = t["raw_cost"]
-    parts = raw.agg(F.sum("pre_tax_cost").alias("total"), (F.sum("pre_tax_cost") - F.sum(F.when(F.col("pool_name").isNull(), F.col("pre_tax_cost"))) - F.sum(F.when(F.col("pool_name").isNotNull(), F.col("pre_tax_cost")))).alias("gap"))
-    return rounded(parts.select("total", F.abs("gap").alias("gap")))
+    total, gap = checks.partition_gap(raw, [gate.batch_slice(raw), gate.non_pool(raw)], "pre_tax_cost")
+    return rounded(raw.sparkSession.createDataFrame([(total, round(gap, 4))], "total double, gap double"))
 
 
 @query("ast15_stage_counts", ["job_usage", "job_cost"], JOINED + f""", st AS (SELECT 'usage' AS stage, count(*) AS n FROM job_usage GROUP BY {POOL}, job_id UNION ALL SELECT 'cost', count(*) FROM job_cost GROUP BY {POOL}, job_id UNION ALL SELECT 'joined', count(*) FROM attributed GROUP BY {POOL}, job_id)
@@ -430,7 +438,7 @@ def _(t):
 
 # Detector. Its ledger: each subscription's day against a trailing median and spread.
 
-DETECT = DetectorConfig(margin_days=60)
+DETECT = DetectorConfig(margin_window_days=60)
 SERIES = DAILY + """, b AS (SELECT run_date, subscription_id, cast(cost AS double) AS y FROM daily),
   led AS (SELECT run_date, subscription_id, y AS y_true, quantile_cont(y, 0.5) OVER w AS q50, quantile_cont(y, 0.1) OVER w AS q05, quantile_cont(y, 0.9) OVER w AS q95 FROM b WINDOW w AS (PARTITION BY subscription_id ORDER BY run_date ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING)),
   ld AS (SELECT * FROM led WHERE q50 IS NOT NULL)"""
@@ -448,41 +456,51 @@ def series_ledger(t: dict[str, DataFrame]) -> DataFrame:
 SINCE = date(2001, 1, 1)
 
 
-@query("det1_interval_alerts", ["raw_cost"], SERIES + f""", s AS (SELECT run_date AS sd, subscription_id, {_SCORE} AS s FROM ld), days AS (SELECT DISTINCT run_date FROM ld WHERE run_date >= DATE '{SINCE}'),
+L1_SQL = SERIES + f""", s AS (SELECT run_date AS sd, subscription_id, {_SCORE} AS s FROM ld), days AS (SELECT DISTINCT run_date FROM ld WHERE run_date >= DATE '{SINCE}'),
   nr AS (SELECT d.run_date, s.subscription_id, s.s FROM days d JOIN s ON s.sd >= d.run_date - 60 AND s.sd < d.run_date),
   p AS (SELECT run_date, {_KTH} AS pm FROM nr GROUP BY 1), g AS (SELECT run_date, subscription_id, {_KTH} AS gm FROM nr GROUP BY 1, 2 HAVING count(*) >= 30),
   x AS (SELECT ld.*, coalesce(gm, pm) AS m FROM ld JOIN p USING (run_date) LEFT JOIN g USING (run_date, subscription_id)),
   y AS (SELECT *, greatest(least(q05 - m * (q95 - q05), q50), 0) AS lo, greatest(greatest(q95 + m * (q95 - q05), q50), 0) AS hi FROM x),
-  z AS (SELECT *, greatest(y_true - hi, lo - y_true) AS impact, CASE WHEN y_true > hi THEN 'above' ELSE 'below' END AS direction FROM y WHERE y_true > hi OR y_true < lo)
-  SELECT run_date, 'subscription_id=' || subscription_id AS scope, direction, {d6('impact')} AS impact, {d6('impact / greatest(hi - lo, 1e-9)')} AS score, {d6('lo')} AS "lower", {d6('hi')} AS "upper" FROM z""")
+  z AS (SELECT *, greatest(y_true - hi, lo - y_true) AS impact, CASE WHEN y_true > hi THEN 'above' ELSE 'below' END AS direction FROM y WHERE y_true > hi OR y_true < lo),
+  l1 AS (SELECT run_date, 'subscription_id=' || subscription_id AS scope, direction, y_true AS observed, q50 AS expected, lo, hi, impact / greatest(hi - lo, 1e-9) AS score, impact FROM z)"""
+
+
+@query("det1_interval_alerts", ["raw_cost"], L1_SQL + " " + alert_sql("l1", "L1_interval", "'daily_cost'"))
 def _(t):
-    return rounded(detector.interval_alerts(series_ledger(t), ["subscription_id"], DETECT, SINCE).select("run_date", "scope", "direction", "impact", "score", "lower", "upper"))
+    return rounded(detector.interval_alerts(series_ledger(t), ["subscription_id"], DETECT, SINCE).drop("message"))
 
 
-@query("det2_cusum", ["raw_cost"], ", recursive_dummy AS (SELECT 1)" + SERIES + f""", r AS (SELECT *, y_true - q50 AS e, row_number() OVER (PARTITION BY subscription_id ORDER BY run_date) AS i FROM ld),
+CUSUM_SQL = f""", r AS (SELECT *, y_true - q50 AS e, row_number() OVER (PARTITION BY subscription_id ORDER BY run_date) AS i FROM ld),
   h AS (SELECT *, list(e) OVER (PARTITION BY subscription_id ORDER BY i ROWS BETWEEN 60 PRECEDING AND 1 PRECEDING) AS past FROM r),
   z0 AS (SELECT *, list_median(past) AS med FROM h WHERE len(past) >= 20),
-  z1 AS (SELECT subscription_id, run_date, (e - med) / greatest(1.4826 * list_median(list_transform(past, lambda x: abs(x - med))), 1e-9) AS z, row_number() OVER (PARTITION BY subscription_id ORDER BY i) AS k FROM z0),
-  c AS (SELECT subscription_id, run_date, k, z, greatest(0, z - 0.5) AS s_pos, greatest(0, -z - 0.5) AS s_neg FROM z1 WHERE k = 1
-    UNION ALL SELECT n.subscription_id, n.run_date, n.k, n.z, greatest(0, CASE WHEN c.s_pos > 5 OR c.s_neg > 5 THEN 0 ELSE c.s_pos END + n.z - 0.5), greatest(0, CASE WHEN c.s_pos > 5 OR c.s_neg > 5 THEN 0 ELSE c.s_neg END - n.z - 0.5) FROM c JOIN z1 n ON n.subscription_id = c.subscription_id AND n.k = c.k + 1)
-  SELECT subscription_id, run_date, {d6('z')} AS z, {d6('s_pos')} AS s_pos, {d6('s_neg')} AS s_neg, CASE WHEN s_pos > 5 THEN 'above' WHEN s_neg > 5 THEN 'below' END AS alarm FROM c""")
+  z1 AS (SELECT subscription_id, run_date, e, e / greatest(1.4826 * list_median(list_transform(past, lambda x: abs(x - med))), 1e-9) AS z, row_number() OVER (PARTITION BY subscription_id ORDER BY i) AS k FROM z0),
+  c AS (SELECT subscription_id, run_date, e, k, z, greatest(0, z - 0.5) AS s_pos, greatest(0, -z - 0.5) AS s_neg FROM z1 WHERE k = 1
+    UNION ALL SELECT n.subscription_id, n.run_date, n.e, n.k, n.z, greatest(0, CASE WHEN c.s_pos > 5 OR c.s_neg > 5 THEN 0 ELSE c.s_pos END + n.z - 0.5), greatest(0, CASE WHEN c.s_pos > 5 OR c.s_neg > 5 THEN 0 ELSE c.s_neg END - n.z - 0.5) FROM c JOIN z1 n ON n.subscription_id = c.subscription_id AND n.k = c.k + 1),
+  l15 AS (SELECT run_date, 'subscription_id=' || subscription_id AS scope, CASE WHEN s_pos >= s_neg THEN 'above' ELSE 'below' END AS direction, e AS observed, 0 AS expected, NULL AS lo, NULL AS hi, (greatest(s_pos, s_neg) - 5) / 5 AS score, abs(e) AS impact FROM c WHERE greatest(s_pos, s_neg) > 5)"""
+
+
+@query("det2_cusum", ["raw_cost"], SERIES + CUSUM_SQL + f" SELECT subscription_id, run_date, {d6('z')} AS z, {d6('s_pos')} AS s_pos, {d6('s_neg')} AS s_neg, CASE WHEN greatest(s_pos, s_neg) <= 5 THEN NULL WHEN s_pos >= s_neg THEN 'above' ELSE 'below' END AS alarm FROM c")
 def _(t):
-    return rounded(detector.cusum(series_ledger(t), ["subscription_id"]).select("subscription_id", "run_date", "z", "s_pos", "s_neg", "alarm"))
+    return rounded(detector.cusum(series_ledger(t), ["subscription_id"]).where("z IS NOT NULL").select("subscription_id", "run_date", "z", "s_pos", "s_neg", "alarm"))
 
 
-ORACLE_SQL["det2_cusum"] = ORACLE_SQL["det2_cusum"].replace("WITH ", "WITH RECURSIVE ", 1).replace(", recursive_dummy AS (SELECT 1)", "")
+@query("det2_cusum_alerts", ["raw_cost"], SERIES + CUSUM_SQL + " " + alert_sql("l15", "L1.5_cusum", "'residual_drift'"))
+def _(t):
+    return rounded(detector.cusum_alerts(series_ledger(t), ["subscription_id"]).drop("message"))
+
 
-#: Jobs of the tables run once; for profiles a job is its brand.
-JOB_DAYS = """, jobs AS (SELECT run_date, subscription_id, batch_account_name, pool_name, job_name AS job_id, cast(sum(cost) AS double) AS cost FROM job_cost WHERE batch_account_name IS NOT NULL GROUP BY 1, 2, 3, 4, 5),
-  h AS (SELECT *, row_number() OVER w AS i, list(cost) OVER (PARTITION BY subscription_id, batch_account_name, pool_name, job_id ORDER BY run_date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS past FROM jobs WINDOW w AS (PARTITION BY subscription_id, batch_account_name, pool_name, job_id ORDER BY run_date)),
+JOB_DAYS = """, jobs AS (SELECT run_date, subscription_id, batch_account_name, pool_name, job_name, cast(sum(cost) AS double) AS cost FROM job_cost WHERE batch_account_name IS NOT NULL GROUP BY 1, 2, 3, 4, 5),
+  h AS (SELECT *, row_number() OVER w AS i, list(cost) OVER (PARTITION BY subscription_id, batch_account_name, pool_name, job_name ORDER BY run_date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS past FROM jobs WINDOW w AS (PARTITION BY subscription_id, batch_account_name, pool_name, job_name ORDER BY run_date)),
   m AS (SELECT *, coalesce(len(past), 0) AS n, list_median(past) AS med FROM h), z AS (SELECT *, greatest(1.4826 * list_median(list_transform(past, lambda x: abs(x - med))), 1e-9) AS sigma FROM m),
-  al AS (SELECT run_date, subscription_id || '' AS s, batch_account_name AS b, pool_name AS p, job_id AS j, CASE WHEN i = 1 THEN 'new' WHEN cost > med THEN 'above' ELSE 'below' END AS direction, CASE WHEN i = 1 THEN 0 ELSE abs(cost - med) / sigma / 5 - 1 END AS score, CASE WHEN i = 1 THEN cost ELSE abs(cost - med) END AS impact
+  l2 AS (SELECT run_date, 'subscription_id=' || subscription_id || ';batch_account_name=' || batch_account_name || ';pool_name=' || pool_name || ';job_name=' || job_name AS scope, CASE WHEN i = 1 THEN 'new' WHEN cost > med THEN 'above' ELSE 'below' END AS direction, cost AS observed, CASE WHEN i > 1 THEN med END AS expected, NULL AS lo, NULL AS hi, CASE WHEN i = 1 THEN 0 ELSE abs(cost - med) / sigma / 5 - 1 END AS score, CASE WHEN i = 1 THEN cost ELSE abs(cost - med) END AS impact
     FROM z WHERE i = 1 OR (n >= 10 AND abs(cost - med) >= 5 AND abs(cost - med) / sigma > 5))"""
+L2_SEVERITY = f"CASE WHEN direction = 'new' THEN 'low' ELSE {SEVERITY} END"
+L2_METRIC = "CASE WHEN direction = 'new' THEN 'new_job' ELSE 'job_daily_cost' END"
 
 
-@query("det3_job_alerts", ["job_cost"], JOB_DAYS + f" SELECT run_date, 'subscription_id=' || s || ';batch_account_name=' || b || ';pool_name=' || p || ';job_id=' || j AS scope, direction, {d6('score')} AS score, {d6('impact')} AS impact FROM al")
+@query("det3_job_alerts", ["job_cost"], JOB_DAYS + " " + alert_sql("l2", "L2_job", L2_METRIC, L2_SEVERITY))
 def _(t):
-    return rounded(detector.job_alerts(t["job_cost"].withColumn("job_id", F.col("job_name"))).select("run_date", "scope", "direction", "score", "impact"))
+    return rounded(detector.job_alerts(t["job_cost"]).drop("message"))
 
 
 # Serving.
@@ -497,15 +515,12 @@ def _(t):
     return ledgers.current_view(all_, ["subscription_id"], "v1")
 
 
-FEATS = ["cost_lag1", "cost_lag7", "cost_roll28", "job_seconds_roll7", "effective_price_drift_lag1", "effective_price_drift_lag7", "dow"]
+FEATS = ["cost_lag1", "cost_lag7", "cost_roll28", "job_seconds_roll7", "price_drift_lag1", "price_drift_lag7", "dow"]
 
 
 @query("udf_history_demand", None, "SELECT * FROM (VALUES " + ", ".join(f"('{f}', {n})" for f, n in zip(FEATS, (1, 7, 29, 8, 42, 48, 0))) + ") v(feature, days)")
 def _(spark, sf_dir):
-    lag = F.coalesce(F.try_to_number(F.nullif(F.regexp_extract("feature", r"_lag(\d+)", 1), F.lit("")), F.lit("999")).cast("int"), F.lit(0))
-    roll = F.try_to_number(F.nullif(F.regexp_extract("feature", r"_roll(\d+)", 1), F.lit("")), F.lit("999")).cast("int")
-    days = F.when(F.col("feature").contains("drift"), 42 + F.greatest(lag - 1, F.lit(0))).when(roll.isNotNull(), roll + 1).otherwise(lag)
-    return spark.createDataFrame([(f,) for f in FEATS], "feature string").select("feature", days.alias("days"))
+    return spark.createDataFrame([(f, scalars.history_days(f)) for f in FEATS], "feature string, days int")
 
 
 # Frames: the pool skeleton against SQL; the full ones for their rows.
@@ -515,7 +530,7 @@ SHARES = [f"share_{v}" for v in LEVELS]
 POOL_SQL = JOINED.replace("SELECT u.*,", "SELECT u.* REPLACE (coalesce(u.batch_account_name, '__NULL_BATCH__') AS batch_account_name),") + EVENTS.replace("FROM job_usage", "FROM attributed") + GATE + f""", act AS (SELECT {POOL}, sum(job_seconds) AS job_seconds, cast(sum(task_count) AS bigint) AS task_count FROM attributed GROUP BY {POOL}),
   mix AS (SELECT {POOL}, count(*) AS n_jobs, max(job_seconds) / nullif(sum(job_seconds), 0) AS largest_job_share, {MIX} FROM attributed GROUP BY {POOL}),
   f0 AS (SELECT {POOL}, cast(c.cost AS double) AS cost, job_seconds, task_count, cast(peak_concurrency AS bigint) AS peak_concurrency, mean_concurrency, n_jobs, largest_job_share, {', '.join(SHARES)}, {REGIME} AS data_regime, gate_complete, {STATE} AS gate_state FROM ({POOL_COST}) c LEFT JOIN act USING ({POOL}) LEFT JOIN conc USING ({POOL}) LEFT JOIN mix USING ({POOL}) LEFT JOIN gate USING (run_date, subscription_id)),
-  f AS (SELECT * FROM f0 WHERE gate_state <> 'gated_failed')"""
+  f AS (SELECT * FROM f0 WHERE gate_state <> 'gated_failed' AND data_regime <> 'pre_coverage')"""
 REALS = ["cost", "job_seconds", "mean_concurrency", "largest_job_share"]
 
 
@@ -538,7 +553,7 @@ def roll_sql(by: str, c: str, n: int) -> str:
 
 
 def drift_sql(source: str, keys: str, meter: str = "meter") -> str:
-    """CTEs up to drift (run_date, keys, effective_price_drift)."""
+    """CTEs up to drift (run_date, keys, price_drift)."""
     on = f"{keys}, {meter}"
     w = lambda lo, hi: f"(PARTITION BY {on} ORDER BY n RANGE BETWEEN {-lo} PRECEDING AND {'CURRENT ROW' if hi == 0 else f'{-hi} PRECEDING'})"
     return f""", dp AS (SELECT run_date, {on}, cast(sum(pre_tax_cost) AS double) AS c, sum(usage_quantity) AS u FROM {source} WHERE usage_quantity > 0 AND pre_tax_cost > 0 GROUP BY ALL),
@@ -546,7 +561,7 @@ def drift_sql(source: str, keys: str, meter: str = "meter") -> str:
   ds AS (SELECT {on}, cast(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS date) AS run_date FROM de),
   dx AS (SELECT ds.*, c, c / u AS p, date_diff('day', DATE '1970-01-01', ds.run_date) AS n FROM ds LEFT JOIN dp USING ({on}, run_date)),
   dw AS (SELECT run_date, {keys}, CASE WHEN count(p) OVER {w(-13, 0)} >= 7 AND count(p) OVER {w(-41, -14)} >= 14 THEN ln(avg(p) OVER {w(-13, 0)} / avg(p) OVER {w(-41, -14)}) END AS d, coalesce(sum(c) OVER {w(-27, 0)}, 0) AS w FROM dx),
-  drift AS (SELECT run_date, {keys}, CASE WHEN sum(w) > 0 THEN sum(d * w) / sum(w) END AS effective_price_drift FROM dw WHERE d IS NOT NULL GROUP BY ALL)"""
+  drift AS (SELECT run_date, {keys}, CASE WHEN sum(w) > 0 THEN sum(d * w) / sum(w) END AS price_drift FROM dw WHERE d IS NOT NULL GROUP BY ALL)"""
 
 
 ENV = "subscription_name, environment_tier, environment_sub_tier, CASE WHEN subscription_name LIKE '%weu%' THEN 'westeurope' WHEN subscription_name LIKE '%neu%' THEN 'northeurope' ELSE 'unknown' END AS region"
@@ -558,18 +573,18 @@ def _(t):
 
 
 BY = "subscription_id, batch_account_name, pool_name"
-_PADDED = ", ".join([f"CASE WHEN f.cost IS NULL THEN 0 ELSE {c} END AS {c}" for c in ("cost", "job_seconds", "task_count", "n_jobs")])
+_PADDED = ", ".join([f"CASE WHEN f.cost IS NULL THEN 0 ELSE {c} END AS {c}" for c in ("cost", "job_seconds", "task_count", "peak_concurrency", "mean_concurrency", "n_jobs", "largest_job_share", *SHARES)])
 
 
 @query("frm3_frame_1a", ["raw_cost", "job_usage", "job_cost", "run_status", "environment_config"], POOL_SQL + drift_sql(SLICE, BY) + f""", ends AS (SELECT {BY}, min(run_date) AS lo, max(run_date) AS hi FROM f GROUP BY ALL),
   spine AS (SELECT {BY}, cast(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS date) AS run_date FROM ends),
-  p0 AS (SELECT {POOL}, {_PADDED}, peak_concurrency, mean_concurrency, largest_job_share, {', '.join(SHARES)}, f.gate_complete, f.cost IS NULL AS padded, {REGIME} AS data_regime, coalesce(f.gate_state, 'gated_complete') AS gate_state
+  p0 AS (SELECT {POOL}, {_PADDED}, f.gate_complete, f.cost IS NULL AS padded, {REGIME} AS data_regime, coalesce(f.gate_state, 'gated_complete') AS gate_state
     FROM spine LEFT JOIN f USING ({POOL}) LEFT JOIN (SELECT run_date, subscription_id, gate_complete AS g FROM gate) USING (run_date, subscription_id) WHERE f.cost IS NOT NULL OR coalesce(g, false)),
-  p1 AS (SELECT * FROM p0 LEFT JOIN drift USING ({POOL}) WHERE NOT padded OR data_regime = 'featured_gated')
-  SELECT {POOL}, {d6_all(REALS)}, cast(task_count AS bigint) AS task_count, peak_concurrency, cast(n_jobs AS bigint) AS n_jobs, {', '.join(SHARES)}, data_regime, gate_complete, gate_state, padded, {d6('effective_price_drift')} AS effective_price_drift,
-  {lags_sql(BY, {'cost': [1, 7], 'job_seconds': [1], 'mean_concurrency': [1], 'largest_job_share': [1], 'effective_price_drift': [1], **{c: [1] for c in SHARES}})},
+  p1 AS (SELECT * FROM p0 LEFT JOIN drift USING ({POOL}))
+  SELECT {POOL}, {d6_all(REALS)}, cast(task_count AS bigint) AS task_count, cast(peak_concurrency AS bigint) AS peak_concurrency, cast(n_jobs AS bigint) AS n_jobs, {', '.join(SHARES)}, data_regime, gate_complete, gate_state, padded, {d6('price_drift')} AS price_drift,
+  {lags_sql(BY, {'cost': [1, 7], 'job_seconds': [1], 'mean_concurrency': [1], 'largest_job_share': [1], 'price_drift': [1], **{c: [1] for c in SHARES}})},
   {', '.join(f'cast(lag({c}) OVER (PARTITION BY {BY} ORDER BY run_date) AS bigint) AS {c}_lag1' for c in ('task_count', 'peak_concurrency', 'n_jobs'))},
-  {roll_sql(BY, 'cost', 28)}, {roll_sql(BY, 'job_seconds', 7)}, {calendar_sql()}, run_date >= DATE '{ERAS.post_glide}' AS post_glide, {ENV} FROM p1 LEFT JOIN environment_config USING (subscription_id)""")
+  {roll_sql(BY, 'cost', 28)}, {roll_sql(BY, 'job_seconds', 7)}, {calendar_sql()}, {ENV} FROM p1 LEFT JOIN environment_config USING (subscription_id)""")
 def _(t):
     return rounded(frames.frame_1a(t, ERAS, LEVELS, check=False).df)
 
@@ -581,24 +596,24 @@ SEG = "subscription_id, segment"
   b0 AS (SELECT run_date, {SEG}, cast(sum(pre_tax_cost) AS double) AS c, count(*) AS n FROM rest GROUP BY ALL),
   spine AS (SELECT {SEG}, cast(unnest(generate_series((SELECT min(run_date) FROM b0), (SELECT max(run_date) FROM b0), INTERVAL 1 DAY)) AS date) AS run_date FROM (SELECT DISTINCT {SEG} FROM b0)),
   b1 AS (SELECT run_date, {SEG}, coalesce(c, 0) AS cost, coalesce(n, 0) AS line_count, c IS NULL AS padded, {REGIME} AS data_regime, gate_complete, {STATE} AS gate_state FROM spine LEFT JOIN b0 USING (run_date, {SEG}) LEFT JOIN gate USING (run_date, subscription_id) WHERE c IS NOT NULL OR coalesce(gate_complete, false))"""
-  + drift_sql("rest", SEG) + f""", b2 AS (SELECT * FROM b1 LEFT JOIN drift USING (run_date, {SEG}) WHERE gate_state <> 'gated_failed')
-  SELECT run_date, {SEG}, {d6('cost')} AS cost, line_count, padded, data_regime, gate_complete, gate_state, {d6('effective_price_drift')} AS effective_price_drift, {lags_sql(SEG, {'cost': [1, 7], 'effective_price_drift': [1]})},
-  cast(lag(line_count) OVER (PARTITION BY {SEG} ORDER BY run_date) AS bigint) AS line_count_lag1, {roll_sql(SEG, 'cost', 7)}, {roll_sql(SEG, 'cost', 28)}, {calendar_sql()}, run_date >= DATE '{ERAS.post_glide}' AS post_glide, {ENV} FROM b2 LEFT JOIN environment_config USING (subscription_id)""")
+  + drift_sql("rest", SEG) + f""", b2 AS (SELECT * FROM b1 LEFT JOIN drift USING (run_date, {SEG}) WHERE gate_state <> 'gated_failed' AND data_regime <> 'pre_coverage')
+  SELECT run_date, {SEG}, {d6('cost')} AS cost, line_count, padded, data_regime, gate_complete, gate_state, {d6('price_drift')} AS price_drift, {lags_sql(SEG, {'cost': [1, 7], 'price_drift': [1]})},
+  cast(lag(line_count) OVER (PARTITION BY {SEG} ORDER BY run_date) AS bigint) AS line_count_lag1, {roll_sql(SEG, 'cost', 28)}, {calendar_sql()}, run_date >= DATE '{ERAS.post_glide}' AS post_glide, {ENV} FROM b2 LEFT JOIN environment_config USING (subscription_id)""")
 def _(t):
     return rounded(frames.frame_1b(t, ERAS, check=False).df)
 
 
-TEAM_JOINED = JOINED.replace("FROM job_cost)", f"FROM (SELECT * REPLACE ({TEAM} AS job_team) FROM job_cost))")
+TEAM_JOINED = JOINED.replace("FROM job_cost)", f"FROM (SELECT job_cost.* REPLACE ({TEAM} AS job_team) FROM job_cost LEFT JOIN gate USING (run_date, subscription_id) WHERE {STATE} <> 'gated_failed' AND {REGIME} <> 'pre_coverage'))")
 LOW_MIX = ", ".join(f"coalesce({_share_sql(v)}, 0) AS share_{v.lower()}" for v in LEVELS)
-TEAM_NUM = ["job_seconds", "task_count", "n_jobs", "largest_job_share", *(f"share_{v.lower()}" for v in LEVELS)]
+TEAM_NUM = ["job_seconds", "task_count", "n_jobs", *(f"share_{v.lower()}" for v in LEVELS)]
 
 
 @query("frm5_frame_2", ["job_usage", "job_cost", "run_status"], TEAM_DAYS + TEAM_JOINED + f""", days AS (SELECT run_date, max(coalesce(unknown_pct, 0)) AS unknown_pct, bool_and(fully_gated) AS fully_gated FROM teams GROUP BY 1),
-  am AS (SELECT run_date, job_team, sum(job_seconds) AS job_seconds, cast(sum(task_count) AS bigint) AS task_count, count(*) AS n_jobs, coalesce(max(job_seconds) / nullif(sum(job_seconds), 0), 0) AS largest_job_share, {LOW_MIX} FROM attributed GROUP BY 1, 2),
+  am AS (SELECT run_date, job_team, sum(job_seconds) AS job_seconds, cast(sum(task_count) AS bigint) AS task_count, count(*) AS n_jobs, {LOW_MIX} FROM attributed GROUP BY 1, 2),
   g2 AS (SELECT run_date, job_team, unknown_pct, fully_gated, coalesce(cast(cost AS double), 0) AS cost, cost IS NULL AS padded, {', '.join(f'coalesce(am.{c}, 0) AS {c}' for c in TEAM_NUM)}
     FROM days CROSS JOIN (SELECT DISTINCT job_team FROM teams) k LEFT JOIN (SELECT run_date, job_team, cost FROM teams) USING (run_date, job_team) LEFT JOIN am USING (run_date, job_team))
   SELECT run_date, job_team, fully_gated, padded, {d6_all(['cost', 'unknown_pct', *(c for c in TEAM_NUM if c not in ('task_count', 'n_jobs'))])}, cast(task_count AS bigint) AS task_count, cast(n_jobs AS bigint) AS n_jobs,
-  {lags_sql('job_team', {'cost': [1, 7], 'unknown_pct': [1], **{c: [1] for c in TEAM_NUM if c not in ('task_count', 'n_jobs')}})}, {', '.join(f'cast(lag({c}) OVER (PARTITION BY job_team ORDER BY run_date) AS bigint) AS {c}_lag1' for c in ('task_count', 'n_jobs'))},
+  {lags_sql('job_team', {'cost': [1, 7], **{c: [1] for c in TEAM_NUM if c not in ('task_count', 'n_jobs')}})}, {', '.join(f'cast(lag({c}) OVER (PARTITION BY job_team ORDER BY run_date) AS bigint) AS {c}_lag1' for c in ('task_count', 'n_jobs'))},
   {roll_sql('job_team', 'cost', 28)}, {calendar_sql()}, CASE WHEN fully_gated THEN 'gated_complete' ELSE 'ungated' END AS gate_state, {REGIME} AS data_regime FROM g2""")
 def _(t):
     return rounded(frames.frame_2(t, ERAS, LEVELS, check=False).df)
@@ -614,13 +629,21 @@ def _(t):
     keys = ["subscription_id"]
     made = factory.lagged(["cost"], [1, 7], keys) | factory.rolled(["cost"], [28], keys)
     f = scalars.add_calendar(daily(t).withColumn("cost", F.col("cost").cast("double")).withColumns(made)).withColumn("is_weekend", F.col("is_weekend").cast("int"))
-    return pipeline.gbm_forecaster(f, SPEC, [*made, "dow", "month", "subscription_id"], keys, ORIGINS[:1], rounds=30)
+    return pipeline.gbm_forecaster(f, SPEC, [*made, "dow", "month", "subscription_id"], keys, ORIGINS[:1], rounds=30, conformal=True)[0]
 
 
-@query("det5_run_detector", ["raw_cost", "job_cost"])
+def _labelled(name: str) -> str:
+    return f"(SELECT * REPLACE ('frame_x:' || scope AS scope) FROM {name})"
+
+
+@query("det5_run_detector", ["raw_cost", "job_cost", "run_status"], SERIES + L1_SQL.removeprefix(SERIES) + CUSUM_SQL + JOB_DAYS.replace("h AS", "jh AS").replace("FROM h)", "FROM jh)").replace("m AS", "jm AS").replace("FROM m)", "FROM jm)").replace(" z AS", " jz AS").replace("FROM z ", "FROM jz ") + TEAM_DAYS + ATTRIBUTION_SQL
+  + f" SELECT * FROM ({alert_sql(_labelled('l1'), 'L1_interval', chr(39) + 'daily_cost' + chr(39))} UNION ALL {alert_sql(_labelled('l15'), 'L1.5_cusum', chr(39) + 'residual_drift' + chr(39))} UNION ALL {alert_sql('l2', 'L2_job', L2_METRIC, L2_SEVERITY)} UNION ALL {alert_sql('un', 'attribution', chr(39) + 'unknown_pct' + chr(39))}) WHERE run_date >= DATE '{SINCE}'")
 def _(t):
-    return detector.run_detector({"daily": (series_ledger(t), ["subscription_id"])}, t["job_cost"].withColumn("job_id", F.col("job_name")), config=DETECT, score_days=90)
+    return rounded(detector.run_detector({"frame_x": (series_ledger(t), ["subscription_id"])}, t["job_cost"], frames.team_days(t, ERAS), DETECT, score_from=SINCE).drop("message"))
+
 
+for _name in ("det2_cusum", "det2_cusum_alerts", "det5_run_detector"):
+    ORACLE_SQL[_name] = ORACLE_SQL[_name].replace("WITH ", "WITH RECURSIVE ", 1)
 
 for _name in sqlpack.PACK:
     QUERIES[_name] = sqlpack.query(_name)

@@ -92,14 +92,26 @@ def write_snapshot(tables: Mapping[str, DataFrame], out: str, more: Mapping | No
 
 
 def load_snapshot(spark: SparkSession, path: str, tables: Sequence[str] = tuple(SCHEMAS), tiers: bool = True) -> dict[str, DataFrame]:
-    """The snapshot's tables, lazily; excluded tiers are filtered here once."""
+    """The snapshot's tables, lazily, read by name in the types of SCHEMAS where those say one; excluded tiers are filtered here once.
+
+    run_month stays where the files have it: a filter on it (between_days) skips whole months.
+    """
     out = {}
     for t in tables:
         if exists(spark, f"{path}/{t}.parquet"):
-            out[t] = spark.read.parquet(f"{path}/{t}.parquet").drop("run_month")
+            df = spark.read.parquet(f"{path}/{t}.parquet")
+            want = {f.name: f.dataType for f in SCHEMAS[t]} if t in SCHEMAS else {}
+            wrong = {f.name: F.col(f.name).cast(want[f.name]) for f in df.schema if f.name in want and f.dataType != want[f.name]}
+            out[t] = df.withColumns(wrong) if wrong else df
     return filter_tiers(out) if tiers else out
 
 
+def between_days(df: DataFrame, lo: date, hi: date) -> DataFrame:
+    """Rows of the days from lo to hi; of a monthly table only these months are read."""
+    out = df.where(F.col("run_date").between(F.lit(lo), F.lit(hi)))
+    return out.where(F.col("run_month").between(f"{lo:%Y-%m}", f"{hi:%Y-%m}")) if "run_month" in df.columns else out
+
+
 def monthly_density(df: DataFrame, day: str = "run_date") -> DataFrame:
     """month (yyyy-MM), n."""
     return df.where(F.col(day).isNotNull()).groupBy(F.date_format(day, "yyyy-MM").alias("month")).agg(F.count("*").alias("n"))
@@ -122,15 +134,19 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def write_json(spark: SparkSession, path: str, value: object, overwrite: bool = True) -> None:
+def write_text(spark: SparkSession, path: str, text: str, overwrite: bool = True) -> None:
     fs, p = _fs(spark, path)
     stream = fs.create(p, overwrite)
     try:
-        stream.write(bytearray(json.dumps(value, indent=1, default=str).encode()))
+        stream.write(bytearray(text.encode()))
     finally:
         stream.close()
 
 
+def write_json(spark: SparkSession, path: str, value: object, overwrite: bool = True) -> None:
+    write_text(spark, path, json.dumps(value, indent=1, default=str), overwrite)
+
+
 def read_json(spark: SparkSession, path: str) -> object:
     fs, p = _fs(spark, path)
     if not fs.exists(p):

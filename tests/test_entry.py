@@ -24,7 +24,7 @@ def test_entry_runs(spark):
     import __spark_entry__
 
     df = __spark_entry__.entry(spark)
-    assert df.limit(1).count() == 1 and {"cost_lag1", "cost_roll28", "effective_price_drift", "dow"} <= set(df.columns)
+    assert df.limit(1).count() == 1 and {"cost_lag1", "cost_roll28", "price_drift", "dow"} <= set(df.columns)
 
 
 def test_nothing_else_imports_the_optional_parts():

@@ -1,17 +1,19 @@
 """Small cases with answers worked out by hand."""
 
 import datetime as dt
+import hashlib
 import math
 import random
 from datetime import date, datetime
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from costloom.config import DetectorConfig, Eras, Frame, FrameSpec
 from costloom.errors import BacktestError, DataQualityError
 from costloom.functions import scalars
-from costloom.operators import baselines, calibrate, checks, decompose, detector, factory, features, gate, joins, metrics
+from costloom.operators import baselines, calibrate, checks, decompose, detector, factory, features, gate, joins, metrics, ranks
 
 D = date
 
@@ -57,7 +59,7 @@ def test_severity(spark, score, impact, want):
 
 
 def test_history_demand():
-    f = ["cost_lag7", "cost_roll28", "effective_price_drift_lag1", "effective_price_drift_lag7"]
+    f = ["cost_lag7", "cost_roll28", "price_drift_lag1", "price_drift_lag7"]
     assert [scalars.history_days(x) for x in f] == [7, 29, 42, 48]
     assert scalars.min_history_days(f[:3]) == 42 and scalars.min_history_days(f[:3], 30) == 71
     assert scalars.recommended_pull_days(f[:3]) == 115
@@ -231,10 +233,10 @@ def test_drift(spark):
     line = "run_date date, subscription_id string, meter string, usage_quantity double, pre_tax_cost double"
     d = days(D(2024, 1, 1), 70)
     step = spark.createDataFrame([(x, "s", "m", 10.0, 10.0 if i < 50 else 5.0) for i, x in enumerate(d)], line)
-    got = rows(factory.price_drift(step, ["subscription_id"]).orderBy("run_date"), "effective_price_drift")
+    got = rows(factory.price_drift(step, ["subscription_id"]).orderBy("run_date"), "price_drift")
     assert got[-1] < -0.3
     flat = spark.createDataFrame([(x, "s", "m", 10.0, 10.0) for x in d], line)
-    assert all(abs(v) < 1e-12 for v in rows(factory.price_drift(flat, ["subscription_id"]), "effective_price_drift"))
+    assert all(abs(v) < 1e-12 for v in rows(factory.price_drift(flat, ["subscription_id"]), "price_drift"))
     assert factory.price_drift(flat.limit(0), ["subscription_id"]).count() == 0
 
 
@@ -362,25 +364,49 @@ def test_cusum_equals_a_loop(spark):
     for i, x in enumerate(d):
         past = y[max(0, i - 60) : i]
         if len(past) < 20:
-            assert x not in got
+            assert got[x] == (None, None, None)
             continue
         m = med(past)
-        z = (y[i] - m) / max(1.4826 * med([abs(v - m) for v in past]), 1e-9)
+        z = y[i] / max(1.4826 * med([abs(v - m) for v in past]), 1e-9)
         p, n = max(0.0, p + z - 0.5), max(0.0, n - z - 0.5)
-        alarm = "above" if p > 5 else "below" if n > 5 else None
+        alarm = None if max(p, n) <= 5 else "above" if p >= n else "below"
         a, b, c = got[x]
         assert abs(a - p) < 1e-9 and abs(b - n) < 1e-9 and c == alarm
         if alarm:
             p = n = 0.0
             seen += 1
     assert seen
+    # piece by piece, as batches come, it is the same
+    whole, walk = detector.Cusum()(np.array(y)), detector.Cusum()
+    for got_, want in zip(zip(*(walk(np.array(y[a : a + 7])) for a in range(0, 200, 7))), whole):
+        part = np.concatenate(got_)
+        assert [None if v is None or v != v else v for v in part] == [None if v is None or v != v else v for v in want]
+
+
+def test_order_statistics(spark):
+    rng = random.Random(2)
+    data = [(g, round(rng.gauss(0, 30), rng.choice((0, 2)))) for g in "abc" for _ in range({"a": 1, "b": 40, "c": 333}[g])] + [("a", None), ("d", None)]
+    df = spark.createDataFrame(data, "g string, v double")
+    got = {r.g: r for r in ranks.order_statistics(df, ["g"], "v", {"k": ranks.conformal_rank(0.9), "low": lambda n: F.lit(1)}).collect()}
+    for g in "abc":
+        v = sorted(x for h, x in data if h == g and x is not None)
+        assert (got[g].n, got[g].k, got[g].low) == (len(v), v[min(-(-(len(v) + 1) * 9 // 10), len(v)) - 1], v[0])
+    assert "d" not in got and ranks.order_statistics(df.limit(0), [], "v", {"k": ranks.conformal_rank(0.9)}).count() == 0
+    q = {r.g: r for r in ranks.quantiles(df, ["g"], "v", {"lo": 0.05, "hi": 0.95}).collect()}
+    for g in "abc":
+        v = [x for h, x in data if h == g and x is not None]
+        assert abs(q[g].lo - np.quantile(v, 0.05)) < 1e-9 and abs(q[g].hi - np.quantile(v, 0.95)) < 1e-9
 
 
 @pytest.mark.parametrize("last,want", [(1000.0, ["above", "new"]), (102.0, ["new"])])
 def test_jobs_against_their_history(spark, last, want):
     d = days(D(2024, 1, 1), 31)
-    df = spark.createDataFrame([(x, "s", "b", "p", "j", 100.0 + (i % 3) * 0.1 if i < 30 else last) for i, x in enumerate(d)], "run_date date, subscription_id string, batch_account_name string, pool_name string, job_id string, cost double")
-    assert sorted(rows(detector.job_alerts(df), "direction")) == want
+    df = spark.createDataFrame([(x, "s", "b", "p", "j", 100.0 + (i % 3) * 0.1 if i < 30 else last) for i, x in enumerate(d)], "run_date date, subscription_id string, batch_account_name string, pool_name string, job_name string, cost double")
+    got = detector.job_alerts(df).collect()
+    assert sorted(r.direction for r in got) == want and {r.layer for r in got} == {"L2_job"}
+    assert {r.metric for r in got if r.direction == "new"} == {"new_job"}
+    # only the scored days, with the whole history before them
+    assert [(r.run_date, r.direction) for r in detector.job_alerts(df, score_from=d[-1]).collect()] == [(d[-1], x) for x in want if x != "new"]
 
 
 def test_attribution_and_triage(spark):
@@ -388,7 +414,8 @@ def test_attribution_and_triage(spark):
     got = detector.attribution_alerts(df).collect()
     assert [(r.run_date, r.severity, r.direction) for r in got] == [(D(2024, 1, 2), "high", "above")]
     old = detector.attribution_alerts(df).withColumn("status", F.lit("known"))
-    out = detector.run_detector({}, team_frame=df, previous=old)
+    assert (got[0].layer, got[0].scope, got[0].metric, got[0].impact) == ("attribution", "estate", "unknown_pct", None)
+    out = detector.run_detector({}, frame_2=df, previous_alerts=old)
     assert rows(out, "status") == ["known"] and out.columns == scalars.ALERT_COLUMNS
 
 
@@ -396,9 +423,18 @@ def test_spike_is_seen_the_same_day(spark):
     rng = random.Random(7)
     d = days(D(2024, 1, 1), 120)
     led = spark.createDataFrame([(x, "g", "m", d[0], rng.gauss(100, 5) + (200 if i == 110 else 0), 92.0, 100.0, 108.0) for i, x in enumerate(d)], LEDGER)
-    got = detector.run_detector({"1a": (led, ["g"])}, score_days=30).collect()
+    got = detector.run_detector({"frame_1a": (led, ["g"])}, score_from=d[-30]).collect()
     hit = [r for r in got if r.run_date == d[110]]
-    assert {r.layer for r in hit} == {"L1", "L1.5"} and all(r.scope == "1a:g=g" for r in hit) and got[0].run_date == d[110]
+    assert {r.layer for r in hit} == {"L1_interval", "L1.5_cusum"} and all(r.scope == "frame_1a:g=g" for r in hit) and got[0].run_date == d[110]
+    assert {r.layer: r.metric for r in hit} == {"L1_interval": "daily_cost", "L1.5_cusum": "residual_drift"}
+    at = f"L1_interval|frame_1a:g=g|{d[110]}|above"
+    assert hashlib.sha1(at.encode()).hexdigest()[:12] in {r.alert_id for r in hit}
+
+
+def test_segments(spark):
+    """The fixed values: a licence line's service alone does not make it compute."""
+    df = spark.createDataFrame([("microsoft.compute/virtualMachineScaleSets", "x", "x"), ("x", "Virtual Machines Licences", "x"), ("x", "x", "Virtual Machines"), ("x", "x", "Virtual Machines Licences"), ("microsoft.compute/virtualmachine", "x", "x"), (None, None, None)], "resource_type string, meter_category string, service_name string")
+    assert rows(df.select(scalars.segment().alias("s")), "s") == ["vm_compute"] * 3 + ["platform"] * 3
 
 
 # Checks.
