@@ -2,44 +2,40 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.scratch import shared_dir, stored
+
+__all__ = ["shared_dir", "stored"]  # for the operators
+
 #: Bytes of text that one vectorised step holds; a longer text is a step of its own.
 STEP_BYTES = 2 << 20
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a folder of our own where it is unset (tests)."""
-    at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not at:
-        at = getattr(shared_dir, "own", None) or tempfile.mkdtemp(prefix="costloom-")
-        shared_dir.own = at
-    return at.rstrip("/")
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """Write df as Parquet into the shared folder and read it back: lineage ends there, so a lost executor costs no recomputation.
+def spare(columns: Sequence[str], *names: str) -> list[str]:
+    """Names like these that no column has, whatever its case."""
+    have, out = {c.lower() for c in columns}, []
+    for n in names:
+        while n.lower() in have:
+            n += "_"
+        have.add(n.lower())
+        out.append(n)
+    return out
 
-    The files go when the session's JVM ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return spark.read.schema(df.schema).parquet(path)
 
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def id_type(docs: DataFrame, name: str = "doc_id") -> str:
+    """The id column's type as DDL; ids are handed on as they are."""
+    return docs.schema[name].dataType.simpleString()
 
 
 def crc_mod(col, n: int):
@@ -75,6 +71,18 @@ def buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, off - off[0]
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Plans that run inside hand Python workers batches of so many rows, which a worker and its JVM hold at once."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def released() -> None:
     """Give free memory of this Python worker back to the system; it may wait long for its next task."""
     import ctypes

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Words, crc_mod, mix, released, steps, stored
+from .common import Words, crc_mod, mix, released, small_batches, steps, stored
 
 DEPTH = 6
 #: Contexts of so many bytes are the roots of the parts' trees.
@@ -45,7 +45,7 @@ CUT = 2
 #: A chunk ends at so many bytes of text, distinct grams or distinct words.
 CHUNK_BYTES, CHUNK_GRAMS, CHUNK_WORDS = 24 << 20, 2_500_000, 500_000
 #: Keys that wait for being merged.
-HELD = 1_000_000
+HELD = 700_000
 #: One part for so many bytes of text, up to MOST_PARTS.
 PART_BYTES, MOST_PARTS = 32 << 20, 2048
 END, GAP = 10, 32
@@ -89,12 +89,15 @@ def _merge(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
     """Distinct sorted keys of some sorted lists, and the sums of their numbers; the lists are taken from `parts`."""
     if len(parts) == 1:
         return parts[0]
-    keys, n = np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts])
-    parts.clear()
-    order = np.argsort(keys, kind="stable")
-    keys, n = keys[order], n[order]
-    head = _heads(keys)
-    return keys[head], np.add.reduceat(n, head) if len(head) else n
+    every = np.concatenate([k for k, _ in parts])
+    every.sort()
+    keys = every[_heads(every)]
+    del every
+    n = np.zeros(len(keys), parts[0][1].dtype)
+    while parts:
+        k, c = parts.pop()
+        n[np.searchsorted(keys, k)] += c
+    return keys, n
 
 
 def _heads(keys: np.ndarray) -> np.ndarray:
@@ -157,7 +160,7 @@ class Chunk:
         k = (_grams(s.data, s.sizes, self.depth) << 1) | np.repeat(train, s.sizes)
         k.sort()
         head = _heads(k)
-        self.parts.append((k[head], np.diff(head, append=len(k))))
+        self.parts.append((k[head], np.diff(head, append=len(k)).astype(np.int32)))
         self.held += len(head)
         del k
         if self.held > HELD + len(self.parts[0][0]):
@@ -178,10 +181,10 @@ class Chunk:
         """(part, keys, counts) of grams, then of words."""
         k, n = _merge(self.parts)
         self.parts = []
-        n *= k & 1
+        n *= (k & 1).astype(np.int32)
         k >>= 1
         head = _heads(k)
-        k, n = k[head], np.add.reduceat(n, head)
+        k, n = k[head], np.add.reduceat(n, head, dtype=np.int64)
         part = _part_of(n_parts)[(k >> 8 * (self.depth - CUT)) & 0xFFFF]
         order = np.argsort(part, kind="stable")
         k, n, part = k[order], n[order], part[order]
@@ -504,7 +507,8 @@ def scored(docs: DataFrame, train: Column, depth: int = DEPTH) -> DataFrame:
     own = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
     size = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = min(max(4, -(-size // PART_BYTES)), MOST_PARTS)
-    chunks = stored(own.mapInArrow(_cutter(depth, parts, id_type), f"chunk long, part int, seq int, keys binary, vals binary, sizes binary, ids array<{id_ddl}>"))
+    with small_batches(spark):
+        chunks = stored(own.mapInArrow(_cutter(depth, parts, id_type), f"chunk long, part int, seq int, keys binary, vals binary, sizes binary, ids array<{id_ddl}>"))
     blocks = chunks.where("part >= 0").select("part", "chunk", "keys", "vals")
     dealt = blocks.select("part", "keys", "vals").repartitionById(2 * parts, F.col("part")).sortWithinPartitions("part")
     merged = stored(dealt.mapInArrow(_merger(depth, parts), "part int, keys binary, vals binary, top array<binary>, n long, v long"))
