@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from . import chat, ctw, decontaminate, langid, mixing, neardup, pii, quality, tokens, urls
 from .common import stored, table
 
-#: Of the registered pseudonym query; a deployment has its own.
+#: Of the registered pseudonym query, whose rows must be the same everywhere; a deployment sets spark.costloom.pseudonymKey.
 DEMO_KEY = "costloom-demo-key"
 
 
@@ -53,7 +53,7 @@ def op9_pii(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op10_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
-    return decontaminate.decontaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark")).drop("hits", "items")
+    return decontaminate.decontaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark")).drop("items", "near_items")
 
 
 QUERIES = {f.__name__: f for f in (op1_token_counts, op2_chat_format, op3_lm_score, op4_near_dedup, op5_quality_rules, op6_mixing, op7_language_id, op8_url_filter, op9_pii, op10_decontaminate)}
