@@ -4,7 +4,8 @@ A rule names a host, all its subdomains with it, and a start of the path; the lo
 from URLs with known verdicts (here: those that rules decide) and read only the URL's letters: lengths, depth, digit
 share, character entropy, parameters, hyphens, labels, and how often the host's last labels are blocked.
 
-How often a suffix is blocked is counted over all distinct labelled URLs and joined to the URLs. The trees are fitted on the
+How often a suffix is blocked is counted over all distinct labelled URLs and joined to the URLs; the rows that the trees learn
+from are rated by the other folds' labels. The trees are fitted on the
 driver to a bounded sample of them: of each verdict the rows of smallest hash, a twentieth of SAMPLE at least where there
 are so many, weighted to stand for all of that verdict. Every URL is judged.
 
@@ -15,11 +16,11 @@ judged alike; further columns are ignored.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +29,8 @@ from .common import stored
 #: (verdict, host/path)
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
 SAMPLE = 20_000
+#: Folds of the labelled URLs: a suffix's rate, where it is learned from, is that of the other folds.
+FOLDS = 5
 #: Suffixes of up to so many rows are broadcast; more are joined by a shuffle.
 BROADCAST_ROWS = 100_000
 ROUNDS, LEAVES_DEPTH, RATE, BINS = 60, 3, 0.2, 32
@@ -55,32 +58,24 @@ def suffixes(host: Column) -> tuple[Column, Column]:
     return F.substring_index(host, ".", -1), F.substring_index(host, ".", -2)
 
 
-def lexical(urls: list[str], rates: np.ndarray) -> np.ndarray:
-    """The features of each URL; rates: how often the host's last label, and its last two, are blocked."""
-    out = np.zeros((len(urls), 12))
-    for row, u, (last, two) in zip(out, urls, rates):
-        _, _, rest = u.partition("://")
-        cut = min((i for i in map(rest.find, "/?#") if i >= 0), default=len(rest))
-        host, tail = rest[:cut].lower(), rest[cut:]
-        path = tail.split("#")[0].split("?")[0]
-        labels = host.split(".")
-        n = max(len(u), 1)
-        c = np.array(list(Counter(u).values()) or [1], float)
-        row[:] = (
-            len(u),
-            len(host),
-            len(path),
-            path.count("/"),
-            sum(map(str.isdigit, u)) / n,
-            -(c / c.sum() * np.log2(c / c.sum())).sum(),
-            tail.count("=") + tail.count("&"),
-            host.count("-"),
-            len(labels),
-            last,
-            two,
-            sum(map(len, labels[:1])),
-        )
-    return out
+#: Of a URL, with the two rates.
+FEATURES = 12
+
+
+def lexical(url: Column, host: Column, path: Column) -> Column:
+    """The features of a URL but for its suffixes' rates, as an array: lengths of the URL, its host and path, depth, digit share, entropy of its characters (bits), parameters, hyphens, labels, length of the first label."""
+    u = F.coalesce(url, F.lit(""))
+    size = F.length(u)
+    some = F.greatest(size, F.lit(1)).cast("double")
+    tail = F.regexp_extract(u, r"^(?s).*?://[^/?#]*(.*)$", 1)
+    count = lambda c, pattern: F.regexp_count(c, F.lit(pattern))
+    # -sum of p log2 p = log2 n - sum of c log2 c / n over the different characters' counts c
+    chars = F.array_distinct(F.split(u, ""))
+    each = F.transform(chars, lambda c: (size - F.length(F.replace(u, c, F.lit("")))).cast("double"))
+    logs = F.aggregate(each, F.lit(0.0), lambda s, c: s + F.when(c > 0, c * F.log2(c)).otherwise(0.0))
+    entropy = F.log2(some) - logs / some
+    labels = F.split(host, "[.]")
+    return F.array(*(c.cast("double") for c in (size, F.length(host), F.length(path), count(path, "/"), count(u, "[0-9]") / some, entropy, count(tail, "[=&]"), count(host, "-"), F.size(labels), F.length(F.get(labels, F.lit(0))))))
 
 
 class Trees:
@@ -141,54 +136,54 @@ class Trees:
 
 
 class UrlModel:
-    def __init__(self, labelled: list[tuple[str, int]], rates: np.ndarray | None = None, base: float | None = None, weights: np.ndarray | None = None):
-        """labelled: (url, 1 if blocked). rates, base: of these and of all labelled URLs; without them, from these alone."""
-        y = np.array([v for _, v in labelled], float)
-        self.base = base if base is not None else float(y.mean()) if len(y) else 0.0
-        self.own: dict[str, float] = {}
-        if rates is None:
-            seen: dict[str, list] = {}
-            for u, v in labelled:
-                for s in set(self._suffixes(u)):
-                    seen.setdefault(s, []).append(v)
-            self.own = {s: (sum(v) + self.base) / (len(v) + 1) for s, v in seen.items()}
-            rates = self._rates([u for u, _ in labelled])
-        weights = np.ones(len(y)) if weights is None else weights
-        self.trees = Trees(lexical([u for u, _ in labelled], rates), y, weights) if 0 < self.base < 1 else None
+    """The trees over (features, rates of the last label and the last two) of labelled URLs; one verdict alone is its own model."""
 
-    @staticmethod
-    def _suffixes(url: str) -> tuple[str, str]:
-        labels = url.partition("://")[2].split("/")[0].lower().split(".")
-        return labels[-1], ".".join(labels[-2:])
+    def __init__(self, x: np.ndarray, y: np.ndarray, base: float, weights: np.ndarray):
+        """y: 1 if blocked. base: the share of all labelled URLs that is. weights: how many URLs each row stands for."""
+        self.base = base
+        self.trees = Trees(x, y, weights) if len(y) and 0 < base < 1 else None
 
-    def _rates(self, urls: list[str]) -> np.ndarray:
-        return np.array([[self.own.get(s, self.base) for s in self._suffixes(u)] for u in urls]).reshape(-1, 2)
+    def chance(self, x: np.ndarray) -> np.ndarray:
+        return self.trees.chance(x) if self.trees is not None and len(x) else np.full(len(x), self.base)
 
-    def chance(self, urls: list[str], rates: np.ndarray | None = None) -> np.ndarray:
-        if self.trees is None or not urls:
-            return np.full(len(urls), self.base)
-        return self.trees.chance(lexical(urls, self._rates(urls) if rates is None else rates))
+
+def fold(url: Column) -> Column:
+    """The fold of a labelled URL."""
+    return F.pmod(F.xxhash64(F.lit("fold"), url), F.lit(FOLDS))
 
 
 def rated(labelled: DataFrame) -> tuple[DataFrame, float]:
-    """(suffix, rate) over all of the labelled (url, host, v), stored; and the share that is blocked."""
+    """(suffix, fold, b, n) over all of the labelled (url, host, v), stored: blocked and all URLs; and the share that is blocked."""
     ends = F.array_distinct(F.array(*suffixes(F.col("host"))))
     n, blocked = labelled.agg(F.count("*"), F.sum("v")).first()
     base = (blocked or 0) / n if n else 0.0
-    by = labelled.select(F.explode(ends).alias("suffix"), "v").groupBy("suffix").agg(F.sum("v").alias("b"), F.count("*").alias("n"))
-    return stored(by.select("suffix", ((F.col("b") + base) / (F.col("n") + 1)).alias("rate"))), base
+    return stored(labelled.select(F.explode(ends).alias("suffix"), fold(F.col("url")).alias("fold"), "v").groupBy("suffix", "fold").agg(F.sum("v").alias("b"), F.count("*").alias("n"))), base
+
 
+def with_rates(urls: DataFrame, counts: DataFrame, base: float, own: bool = False) -> DataFrame:
+    """urls (url, host, ...) and `r1`, `r2`: how often labelled URLs of the host's last label, and of its last two, are blocked; the base rate where there are none.
 
-def with_rates(urls: DataFrame, rates: DataFrame, base: float) -> DataFrame:
-    """urls (with a host) and `r1`, `r2`, the rates of the host's last label and last two; the base rate where no labelled URL has them."""
+    own: the urls are labelled ones, and each is rated by the other folds alone, so that no rate knows its own label.
+    """
+    by = counts.groupBy("suffix").agg(F.sum("b").alias("b"), F.sum("n").alias("n"))
+    if own:
+        by = by.alias("a").join(counts.alias("c"), "suffix").select("suffix", "fold", (F.col("a.b") - F.col("c.b")).alias("b"), (F.col("a.n") - F.col("c.n")).alias("n"))
+    rates = stored(by.withColumn("rate", (F.col("b") + base) / (F.col("n") + 1)).drop("b", "n"))
     near = F.broadcast(rates) if rates.count() <= BROADCAST_ROWS else rates
     out = urls
     for name, end in zip(("r1", "r2"), suffixes(F.col("host"))):
-        side = near.select(F.col("suffix").alias("_s"), F.col("rate").alias(name))
-        out = out.withColumn("_e", end).join(side, F.col("_e") == F.col("_s"), "left").drop("_s", "_e").withColumn(name, F.coalesce(name, F.lit(base)))
+        side = near.select(F.col("suffix").alias("_s"), *([F.col("fold").alias("_f")] if own else []), F.col("rate").alias(name))
+        on = F.col("_e") == F.col("_s")
+        on = on & (fold(F.col("url")) == F.col("_f")) if own else on
+        out = out.withColumn("_e", end).join(side, on, "left").drop("_s", "_f", "_e").withColumn(name, F.coalesce(name, F.lit(base)))
     return out
 
 
+def featured(urls: DataFrame) -> DataFrame:
+    """urls (url, host, path, r1, r2, ...) with x, all features."""
+    return urls.withColumn("x", F.concat(lexical(F.col("url"), F.col("host"), F.col("path")), F.array("r1", "r2"))).drop("r1", "r2")
+
+
 def sampled(labelled: DataFrame, size: int) -> list[tuple[DataFrame, float]]:
     """Of each verdict the rows of smallest hash, and how many labelled URLs each of them stands for: in proportion, but a twentieth of `size` at least where there are so many."""
     have = {r.v: r.n for r in labelled.groupBy("v").agg(F.count("*").alias("n")).collect()}
@@ -203,11 +198,13 @@ def sampled(labelled: DataFrame, size: int) -> list[tuple[DataFrame, float]]:
 
 
 def fitted(labelled: DataFrame, size: int = SAMPLE) -> tuple[UrlModel, DataFrame]:
-    """labelled: (url, host, blocked 0 or 1). The model of a sample of `size` distinct ones, with the (suffix, rate) of all of them."""
-    own = stored(labelled.where("url IS NOT NULL AND blocked IS NOT NULL").select("url", "host", F.col("blocked").cast("int").alias("v")).distinct())
-    rates, base = rated(own)
-    rows = sorted((r.url, r.v, w, r.r1, r.r2) for few, w in sampled(own, size) for r in with_rates(few, rates, base).collect())
-    return UrlModel([x[:2] for x in rows], np.array([x[3:] for x in rows]).reshape(-1, 2), base, np.array([x[2] for x in rows])), rates
+    """labelled: (url, blocked 0 or 1). The model of a sample of `size` distinct ones, with the suffix counts of all of them."""
+    host, path = parts(F.col("url"))
+    own = stored(labelled.where("url IS NOT NULL AND blocked IS NOT NULL").select("url", host.alias("host"), path.alias("path"), F.col("blocked").cast("int").alias("v")).distinct())
+    counts, base = rated(own)
+    got = sorted((r.url, r.v, w, r.x) for few, w in sampled(own, size) for r in featured(with_rates(few, counts, base, own=True)).collect())
+    x = np.array([g[3] for g in got]).reshape(len(got), FEATURES)
+    return UrlModel(x, np.array([g[1] for g in got], float), base, np.array([g[2] for g in got], float)), counts
 
 
 def judged(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, size: int = SAMPLE) -> DataFrame:
@@ -220,20 +217,20 @@ def judged(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, size: int
     for kind, rule in rules:
         verdict = F.when(F.col("rule") == rule, kind).otherwise(verdict)
     own = own.withColumn("by_rule", verdict)
-    fit, rates = fitted(own.where("rule IS NOT NULL").select("url", "host", (F.col("by_rule") == "block").cast("int").alias("blocked")), size)
+    fit, counts = fitted(own.where("rule IS NOT NULL").select("url", (F.col("by_rule") == "block").cast("int").alias("blocked")), size)
     model = own.sparkSession.sparkContext.broadcast(fit)
-    own = with_rates(own, rates, fit.base)
+    own = featured(with_rates(own, counts, fit.base))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
-            urls, rule = part.column("url").to_pylist(), part.column("by_rule").to_pylist()
-            open_ = [i for i, r in enumerate(rule) if r is None]
+            rule = part.column("by_rule")
+            open_ = np.flatnonzero(rule.is_null().to_numpy(zero_copy_only=False))
+            x = part.column("x").flatten().to_numpy().reshape(part.num_rows, FEATURES)
             chance = np.full(part.num_rows, np.nan)
-            rates = np.stack((part.column("r1").to_numpy(), part.column("r2").to_numpy()), 1)
-            chance[open_] = model.value.chance([urls[i] or "" for i in open_], rates[open_])
-            verdict = [r or ("block" if c >= 0.5 else "allow") for r, c in zip(rule, chance.tolist())]
+            chance[open_] = model.value.chance(x[open_])
+            verdict = pc.coalesce(rule, pa.array(np.where(chance >= 0.5, "block", "allow")).cast(pa.string()))
             cols = [part.column(c) for c in ("page_id", "host", "path", "rule")]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(verdict, pa.string()), pa.array(chance, mask=np.isnan(chance))], ["page_id", "host", "path", "rule", "verdict", "block_chance"])
+            yield pa.RecordBatch.from_arrays([*cols, verdict, pa.array(chance, mask=np.isnan(chance))], ["page_id", "host", "path", "rule", "verdict", "block_chance"])
 
     kind = own.schema["page_id"].dataType.simpleString()
     return own.mapInArrow(run, f"page_id {kind}, host string, path string, rule string, verdict string, block_chance double")
