@@ -23,10 +23,9 @@ from collections.abc import Mapping
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import spare, stored
 
 #: (topic, pattern), the first that matches; else `prose`.
 TOPICS = (
@@ -64,17 +63,16 @@ def labelled(docs: DataFrame) -> DataFrame:
 def _shares(cells: DataFrame, dim: str, target: float | Mapping[str, float]) -> DataFrame:
     """(dim, goal): target shares of the tokens, in all 1."""
     by = cells.groupBy(dim).agg(F.sum("tokens").alias("t"))
-    all_ = W.partitionBy()  # one row for each value of one dimension
+    total = lambda df, c: df.agg(F.sum(c)).first()[0] or 1
     if isinstance(target, Mapping):
         given = F.coalesce(*(F.when(F.col(dim) == k, F.lit(float(v))) for k, v in target.items()))
         left = max(0.0, 1.0 - sum(target.values()))
         by = by.withColumn("g", given)
-        rest = F.sum(F.when(F.col("g").isNull(), F.col("t"))).over(all_)
-        raw = F.coalesce("g", F.col("t") / rest * left)
+        raw = F.coalesce("g", F.col("t") / F.lit(total(by.where("g IS NULL"), "t")) * left)
     else:
         raw = F.pow(F.col("t").cast("double"), F.lit(float(target)))
     by = by.withColumn("raw", raw)
-    return by.select(dim, (F.col("raw") / F.sum("raw").over(all_)).alias("goal"))
+    return by.select(dim, (F.col("raw") / F.lit(total(by, "raw"))).alias("goal"))
 
 
 def _swept(weight: np.ndarray, at: list[np.ndarray], goals: list[np.ndarray], sweeps: int) -> tuple[np.ndarray, float, int]:
@@ -100,7 +98,7 @@ def raked(cells: DataFrame, targets: Mapping[str, float | Mapping[str, float]] =
     out = cells
     for dim, target in targets.items():
         out = out.join(_shares(cells, dim, target).withColumnRenamed("goal", f"goal_{dim}"), dim)
-    out = stored(out.withColumn("weight", F.col("tokens").cast("double")).coalesce(1))
+    out = stored(out.withColumn("weight", F.col("tokens").cast("double")))
     n = out.count()
     if not n:
         return out.drop(*(f"goal_{d}" for d in targets))
@@ -117,10 +115,10 @@ def raked(cells: DataFrame, targets: Mapping[str, float | Mapping[str, float]] =
         return stored(cells.sparkSession.createDataFrame(rows, out.drop(*(f"goal_{d}" for d in targets)).schema))
     k, off = 0, math.inf
     while k < max(sweeps, MOST) and (k < sweeps or off > TOLERANCE):
-        for _ in range(4):  # else the plan grows with the sweeps
-            for dim in targets:
-                out = out.withColumn("weight", F.when(F.col("weight") > 0, F.col("weight") * F.col(f"goal_{dim}") / F.sum("weight").over(W.partitionBy(dim))).otherwise(0.0))
-        out, k = stored(out.coalesce(1)), k + 4
+        for dim in targets:  # sums combine before they move, a value with most of the cells is no hot key
+            sums = out.groupBy(F.col(dim).alias("_d")).agg(F.sum("weight").alias("_w"))
+            out = out.join(sums, F.col(dim) == F.col("_d")).withColumn("weight", F.when(F.col("weight") > 0, F.col("weight") * F.col(f"goal_{dim}") / F.col("_w")).otherwise(0.0)).drop("_d", "_w")
+        out, k = stored(out), k + 1  # else the plan grows with the sweeps
         offs = [out.groupBy(d).agg(F.sum("weight").alias("w"), F.first(f"goal_{d}").alias("g")).where("g > 0").agg(F.max(F.abs(F.col("w") / F.col("g") - 1))).first()[0] for d in targets]
         last, off = off, max(offs)
         if k >= sweeps and off == last:
@@ -135,31 +133,31 @@ def unit(col: Column, seed: str) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 12), 16, 10).cast("double") / float(1 << 48)
 
 
+def chances(docs: DataFrame, targets: Mapping[str, float | Mapping[str, float]], sweeps: int) -> DataFrame:
+    """(dimensions, p): the chance of each cell's documents; broadcast if its rows are few."""
+    cells = stored(labelled(docs).groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens")))
+    fit = raked(cells.where("tokens > 0"), targets, sweeps).withColumn("factor", F.col("weight") / F.col("tokens"))
+    top = fit.agg(F.max("factor")).first()[0]
+    out = stored(fit.select(*DIMENSIONS, (F.col("factor") / F.lit(top)).alias("p")))
+    return F.broadcast(out) if out.count() <= 100_000 else out
+
+
 def mixed(docs: DataFrame, targets: Mapping[str, float | Mapping[str, float]] = EXPONENTS, sweeps: int = SWEEPS, seed: str = "mix") -> DataFrame:
-    """doc_id, source, lang, topic, n_tokens, prob (rounded to 9 digits), sampled, for each document."""
-    own = labelled(docs)
-    cells = stored(own.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("n_docs")))
-    fit = raked(cells.where("tokens > 0"), targets, sweeps)
-    factor = fit.withColumn("factor", F.col("weight") / F.col("tokens"))
-    top = F.max("factor").over(W.partitionBy())  # a row for each cell
-    probs = stored(factor.withColumn("prob", F.round(F.col("factor") / top, 9)).select(*DIMENSIONS, "prob"))
-    near = F.broadcast(probs) if probs.count() <= 100_000 else probs
-    out = own.join(near, list(DIMENSIONS), "left").withColumn("prob", F.coalesce("prob", F.lit(1.0)))
-    return out.select("doc_id", *DIMENSIONS, "n_tokens", "prob", (unit(F.col("doc_id"), seed) < F.col("prob")).alias("sampled"))
+    """doc_id, source, lang, topic, n_tokens, prob (rounded to 9 digits; the draw takes it whole), sampled, for each document."""
+    out = labelled(docs).join(chances(docs, targets, sweeps), list(DIMENSIONS), "left").withColumn("p", F.coalesce("p", F.lit(1.0)))
+    return out.select("doc_id", *DIMENSIONS, "n_tokens", F.round("p", 9).alias("prob"), (unit(F.col("doc_id"), seed) < F.col("p")).alias("sampled"))
 
 
 def drawn(docs: DataFrame, targets: Mapping[str, float | Mapping[str, float]] = EXPONENTS, sweeps: int = SWEEPS, seed: str = "mix") -> DataFrame:
     """The drawn documents, all their columns, with `topic`, `prob` and n_tokens after them (a column so named before is replaced)."""
-    cells = stored(labelled(docs).groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens")))
-    fit = raked(cells.where("tokens > 0"), targets, sweeps).withColumn("factor", F.col("weight") / F.col("tokens"))
-    probs = stored(fit.withColumn("_p", F.round(F.col("factor") / F.max("factor").over(W.partitionBy()), 9)).select(F.col("source").alias("_s"), F.col("lang").alias("_l"), F.col("topic").alias("_t"), "_p"))
-    near = F.broadcast(probs) if probs.count() <= 100_000 else probs
     base = docs.drop("topic", "prob", "n_tokens")
     words = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+    s, l, t, p = spare([*base.columns, "topic", "prob", "n_tokens"], "_s", "_l", "_t", "_p")
+    near = chances(docs, targets, sweeps).withColumnsRenamed({"source": s, "lang": l, "topic": t, "p": p})
     own = base.withColumn("topic", topic(F.col("text")))
-    on = (F.coalesce(F.col("source").cast("string"), F.lit("-")) == F.col("_s")) & (F.coalesce(F.col("lang").cast("string"), F.lit("-")) == F.col("_l")) & (F.col("topic") == F.col("_t"))
-    out = own.join(near, on, "left").withColumn("prob", F.coalesce("_p", F.lit(1.0))).where(unit(F.col("doc_id"), seed) < F.col("prob"))
-    return out.withColumn("n_tokens", words).drop("_s", "_l", "_t", "_p")
+    on = (F.coalesce(F.col("source").cast("string"), F.lit("-")) == F.col(s)) & (F.coalesce(F.col("lang").cast("string"), F.lit("-")) == F.col(l)) & (F.col("topic") == F.col(t))
+    out = own.join(near, on, "left").withColumn(p, F.coalesce(p, F.lit(1.0))).where(unit(F.col("doc_id"), seed) < F.col(p))
+    return out.select(*base.columns, "topic", F.round(p, 9).alias("prob"), words.alias("n_tokens"))
 
 
 def oracle() -> str:
@@ -181,9 +179,9 @@ g_{d} AS MATERIALIZED (SELECT {d}, r / sum(r) OVER () AS goal FROM (SELECT {d},
             sql += f",\n{name} AS MATERIALIZED (SELECT source, lang, topic, tokens, weight * goal / sum(weight) OVER (PARTITION BY {d}) AS weight FROM {last} JOIN g_{d} USING ({d}))"
             last = name
     return sql + f""",
-p AS (SELECT source, lang, topic, round((weight / tokens) / max(weight / tokens) OVER (), 9) AS prob FROM {last}),
+p AS (SELECT source, lang, topic, (weight / tokens) / max(weight / tokens) OVER () AS prob FROM {last}),
 j AS (SELECT doc_id, source, lang, topic, n_tokens, coalesce(prob, 1.0) AS prob FROM own LEFT JOIN p USING (source, lang, topic))
-SELECT doc_id, source, lang, topic, n_tokens, prob,
+SELECT doc_id, source, lang, topic, n_tokens, round(prob, 9) AS prob,
   CAST(CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '-')), 1, 12) AS BIGINT) AS DOUBLE) / 281474976710656.0 < prob AS sampled FROM j
 """
 
