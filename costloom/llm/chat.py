@@ -4,8 +4,8 @@ A log often holds the same conversation again after every turn. Each turn is has
 running combination of these hashes names every prefix. Of equal conversations the smallest conv_id stays; an anti-join
 drops those whose full hash is a proper prefix hash of another; the rest are rendered with role markers.
 
-Turns are numbered in blocks, so that one very long conversation is spread over tasks and its rendering is a row for
-each block (`part` 0, 1, ...; nearly all conversations have only part 0).
+Turns are numbered and rendered in blocks, so that one very long conversation is spread over tasks; only its rendering,
+one row, comes together.
 
 Everything is DataFrame functions. Defined results: exact repeats of a turn row count once; turns are ordered by turn,
 role, text, nulls first; null role or text is not equal to empty and renders as empty; rows with a null conv_id form one
@@ -67,13 +67,15 @@ def maximal(turns: DataFrame) -> DataFrame:
 
 
 def rendered(conversations: DataFrame, opening: str = "<|im_start|>", closing: str = "<|im_end|>") -> DataFrame:
-    """conv_id, part, n_turns, n_copies, n_part_turns, chat: the maximal conversations as marked text."""
+    """conv_id, n_turns, n_copies, chat: the maximal conversations as marked text."""
     turns = numbered(conversations)
     best = maximal(turns).alias("m")
     line = F.concat(F.lit(opening), F.coalesce("role", F.lit("")), F.lit("\n"), F.coalesce("text", F.lit("")), F.lit(f"{closing}\n"))
     t = turns.select("conv_id", (F.floor(F.col("place") / BLOCK)).cast("long").alias("part"), F.struct("place", line.alias("s")).alias("x")).alias("t")
     own = t.join(best, F.col("t.conv_id").eqNullSafe(F.col("m.conv_id"))).groupBy("t.conv_id", "part", "n_turns", "n_copies").agg(F.sort_array(F.collect_list("x")).alias("x"))
-    return own.select("conv_id", "part", "n_turns", "n_copies", F.size("x").cast("long").alias("n_part_turns"), F.array_join("x.s", "").alias("chat"))
+    parts = own.select("conv_id", "n_turns", "n_copies", F.struct("part", F.array_join("x.s", "").alias("s")).alias("x"))
+    whole = parts.groupBy("conv_id", "n_turns", "n_copies").agg(F.sort_array(F.collect_list("x")).alias("x"))
+    return whole.select("conv_id", "n_turns", "n_copies", F.array_join("x.s", "").alias("chat"))
 
 
 ORACLE = """
@@ -85,7 +87,7 @@ p AS (SELECT conv_id, k, string_agg(s, chr(2)) OVER (PARTITION BY conv_id ORDER
 e AS (SELECT conv_id, k, s FROM p QUALIFY k = max(k) OVER (PARTITION BY conv_id)),
 w AS (SELECT s, k, min(conv_id) AS conv_id, count(*) AS n_copies FROM e GROUP BY 1, 2),
 longer AS (SELECT DISTINCT p.s FROM p JOIN e ON p.conv_id = e.conv_id AND p.k < e.k)
-SELECT w.conv_id, CAST((t.k - 1) // 256 AS BIGINT) AS part, w.k AS n_turns, n_copies, count(*) AS n_part_turns,
+SELECT w.conv_id, w.k AS n_turns, n_copies,
   string_agg('<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10), '' ORDER BY t.k) AS chat
-FROM w JOIN t ON w.conv_id = t.conv_id WHERE w.s NOT IN (SELECT s FROM longer) GROUP BY 1, 2, 3, 4
+FROM w JOIN t ON w.conv_id = t.conv_id WHERE w.s NOT IN (SELECT s FROM longer) GROUP BY 1, 2, 3
 """
