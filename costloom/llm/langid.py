@@ -5,12 +5,12 @@ weights for each language; learned transitions tie neighbouring words together,
 labelled in context. Forward-backward gives each word's language probabilities; a text's language is the one with the
 largest share of them.
 
-The field is fitted on the driver to a bounded sample: up to `per_lang` texts of each language, the ones of smallest
-hash, at most SAMPLE_CHARS characters of each, mixed into sequences that switch languages. All words of all texts are
+The field is fitted on the driver to a bounded sample: up to `per_lang` whole texts of each language, the ones of smallest
+hash, mixed into sequences that switch languages. All words of all texts are
 then labelled.
 
 Defined results: text that is null or has no letter is `und` with score 0, so is all text if nothing is labelled; a
-word's punctuation belongs to it; a null doc_id is an ordinary row; repeated rows get the same result; further columns
+word's punctuation belongs to it; a null doc_id is an ordinary row; ids keep their type; repeated rows get the same result; further columns
 are ignored.
 """
 
@@ -23,9 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SpanHash, Words, crc_mod, steps, stored
+from .common import SpanHash, Words, crc_mod, id_type, steps, stored
 
-PER_LANG, SAMPLE_CHARS = 150, 4000
+#: Texts of each language that the field is fitted to.
+PER_LANG = 150
 BUCKETS = 1 << 18
 #: Words to a block of the chain; blocks are worked on side by side and tied together exactly.
 BLOCK = 64
@@ -210,13 +211,13 @@ class Field:
 
 
 def sample(docs: DataFrame, per_lang: int = PER_LANG) -> list[tuple[str, str]]:
-    """(lang, text): of each language the up to `per_lang` texts of smallest hash, cut to SAMPLE_CHARS."""
-    own = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", F.xxhash64("doc_id", "lang").alias("h"), F.substring("text", 1, SAMPLE_CHARS).alias("text"))
+    """(lang, text): of each language the up to `per_lang` distinct texts of smallest hash, whole."""
+    own = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", F.xxhash64("text", "lang").alias("h"), F.col("text").cast("string").alias("text"))
     sizes = stored(own.groupBy("lang").agg(F.count("*").alias("n")))
     sizes = F.broadcast(sizes) if sizes.limit(100_001).count() <= 100_000 else sizes
     # far more than enough pass a threshold on the hash, so that few rows meet to be ranked
     unit = F.col("h").cast("double") / 2.0**64 + 0.5
-    few = own.join(sizes, "lang").where(unit * F.col("n") <= 2 * per_lang + 50).groupBy("lang").agg(F.slice(F.sort_array(F.collect_list(F.struct("h", "text"))), 1, per_lang).alias("x"))
+    few = own.join(sizes, "lang").where(unit * F.col("n") <= 2 * per_lang + 50).distinct().groupBy("lang").agg(F.slice(F.sort_array(F.collect_list(F.struct("h", "text"))), 1, per_lang).alias("x"))
     return sorted((r.lang, t.text) for r in few.collect() for t in r.x)
 
 
@@ -253,7 +254,7 @@ def identified(docs: DataFrame, field: Field | None) -> DataFrame:
                 turns = np.where(np.diff(w.first) > 0, change[np.maximum(w.first[1:] - 1, 0)] - change[np.minimum(w.first[:-1], len(change) - 1)], 0).astype(np.int64)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(pred.tolist(), pa.string()), pa.array(score), pa.array(turns)], ["doc_id", "lang_pred", "score", "n_switches"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, lang_pred string, score double, n_switches long")
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {id_type(docs)}, lang_pred string, score double, n_switches long")
 
 
 def spans(docs: DataFrame, field: Field) -> DataFrame:
@@ -272,7 +273,7 @@ def spans(docs: DataFrame, field: Field) -> DataFrame:
             doc = w.doc[head]
             yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(doc)), pa.array(head - w.first[doc]), pa.array(tail - w.first[doc]), pa.array(np.array(f.langs, object)[top[head]].tolist(), pa.string())], ["doc_id", "start", "end", "lang"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, start long, end long, lang string")
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {id_type(docs)}, start long, end long, lang string")
 
 
 def held_out(doc_id: str = "doc_id"):
