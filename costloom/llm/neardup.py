@@ -9,7 +9,7 @@ exact Jaccard index of the full sets confirms the rest); when the components of
 different components meet again, by exact bounds on their full sets.
 
 Defined results: null or wordless text has an empty set, is linked with nothing and kept; fewer words than a shingle
-make one shingle; a null doc_id is linked with nothing, has a null component and is kept; repeated rows share a class and
+make one shingle; ids keep their type and order as it does; a null doc_id is linked with nothing, has a null component and is kept; repeated rows share a class and
 each comes back; further columns of the input are ignored.
 """
 
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, lists, mix, shingle_sets, steps, stored
+from .common import Words, id_type, lists, mix, shingle_sets, steps, stored
 
 #: A side of up to so many rows of a few longs (some 30 MB) is broadcast; a larger one is shuffled.
 BROADCAST_ROWS = 1_000_000
@@ -98,7 +98,7 @@ def _near(na: str, nb: str, num: int, den: int):
 
 def _full(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     """(id, s): the full shingle sets of these documents; stored."""
-    return stored(docs.join(bounded(ids), F.col("doc_id") == F.col("id"), "left_semi").select("doc_id", "text").mapInArrow(_full_sets(width), "id long, s array<long>"))
+    return stored(docs.join(bounded(ids), F.col("doc_id") == F.col("id"), "left_semi").select("doc_id", "text").mapInArrow(_full_sets(width), f"id {id_type(docs)}, s array<long>"))
 
 
 def _exact(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -157,21 +157,27 @@ def _between(apart: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
     return _exact(stored(pairs), sets, num, den)
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, k: int = 64) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 100, k: int = 64, exact: bool = False) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id that links lead to), kept (doc_id = component_id) for each document.
 
-    Documents are linked if den * |A & B| >= num * |A | B| for their sets of `width`-word shingles.
+    Documents are linked if den * |A & B| >= num * |A | B| for their sets of `width`-word shingles. With exact, sketches are
+    left aside and all nodes meet by exact bounds on their full sets: no chance of a miss, at the cost of every shingle.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sets = stored(docs.mapInArrow(_sketcher(width, k), "doc_id long, n long, f1 long, f2 long, sketch array<long>"))
+    kind = id_type(docs)
+    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    sets = stored(docs.mapInArrow(_sketcher(width, k), f"doc_id {kind}, n long, f1 long, f2 long, sketch array<long>"))
     nodes = stored(sets.where("n > 0 AND doc_id IS NOT NULL").groupBy("f1", "f2", "n").agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch")))
-    listed = stored(inverted_lists(nodes, k, num / den))
-    edges = _starred(listed, nodes, docs, width, num, den, k)
-    comp = stored(components(edges))
-    apart = _apart(listed, comp)
-    if apart.limit(1).count():
-        more = _between(apart, _full(docs, apart.select("id").distinct(), width), num, den)
-        comp = stored(components(edges.unionByName(more)))
+    if exact:
+        alone = nodes.select(F.col("rep").alias("id"), F.col("rep").alias("comp"))
+        comp = stored(components(_between(alone, _full(docs, stored(alone.select("id")), width), num, den)))
+    else:
+        listed = stored(inverted_lists(nodes, k, num / den))
+        edges = _starred(listed, nodes, docs, width, num, den, k)
+        comp = stored(components(edges))
+        apart = _apart(listed, comp)
+        if apart.limit(1).count():
+            more = _between(apart, _full(docs, apart.select("id").distinct(), width), num, den)
+            comp = stored(components(edges.unionByName(more)))
     classes = nodes.join(comp, F.col("rep") == F.col("node"), "left").select("f1", "f2", "n", F.coalesce("component", "rep").alias("c"))
     out = sets.join(classes, ["f1", "f2", "n"], "left")
     comp_id = F.when(F.col("doc_id").isNotNull(), F.coalesce("c", "doc_id"))

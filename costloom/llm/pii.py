@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import spare
+
 ROUNDS = 8
 #: Stands before a changed card number until it is counted: no run of digit groups holds it.
 MARK = "#"
@@ -138,11 +140,12 @@ def pseudonymised(docs: DataFrame, key: str, text: str = "text", back: bool = Fa
     apart = f"split({t}, {any_}, -1)"
     # texts without a value need no look at each character's surroundings
     some = f"{t} RLIKE {_lit(SOME)}"
-    out = docs.withColumn("_v", F.expr(f"CASE WHEN {some} THEN {found} END"))
-    out = out.withColumn("_m", F.expr(f"transform(_v, v -> {pseudonym('v', key, back)})"))
+    values, made, bare = spare([*docs.columns, "v", "n", "s"], "_v", "_m", "_n")
+    out = docs.withColumn(values, F.expr(f"CASE WHEN {some} THEN {found} END"))
+    out = out.withColumn(made, F.expr(f"transform({values}, v -> {pseudonym('v', key, back)})"))
     run = f"v RLIKE '^[0-9]' AND instr(n, '{MARK}') > 0"
-    out = out.withColumn("_n", F.expr(f"zip_with(_v, _m, (v, n) -> if({run}, replace(n, '{MARK}', ''), n))"))
-    whole = f"CASE WHEN size(_v) > 0 THEN array_join(zip_with({apart}, _n, (s, v) -> concat(s, coalesce(v, ''))), '') ELSE {t} END"
+    out = out.withColumn(bare, F.expr(f"zip_with({values}, {made}, (v, n) -> if({run}, replace(n, '{MARK}', ''), n))"))
+    whole = f"CASE WHEN size({values}) > 0 THEN array_join(zip_with({apart}, {bare}, (s, v) -> concat(s, coalesce(v, ''))), '') ELSE {t} END"
     # one run of digit groups may hold several cards
-    changed = f"coalesce(aggregate(zip_with(_v, _m, (v, n) -> if({run}, length(n) - length(replace(n, '{MARK}', '')), if(v <> n, 1, 0))), 0, (a, x) -> a + x), 0)"
-    return out.withColumn(text, F.expr(whole)).withColumn("n_values", F.expr(f"cast(greatest({changed}, 0) AS bigint)")).drop("_v", "_m", "_n")
+    changed = f"coalesce(aggregate(zip_with({values}, {made}, (v, n) -> if({run}, length(n) - length(replace(n, '{MARK}', '')), if(v <> n, 1, 0))), 0, (a, x) -> a + x), 0)"
+    return out.withColumn(text, F.expr(whole)).withColumn("n_values", F.expr(f"cast(greatest({changed}, 0) AS bigint)")).drop(values, made, bare)

@@ -1,6 +1,6 @@
 """Quality rules by tokeniser fertility.
 
-A public vocabulary with byte fallback encodes every whole text. Letters and digits per token, the share of tokens that
+A public vocabulary with byte fallback encodes every whole text, its line feeds as spaces (the vocabulary has no line feed). Letters and digits per token, the share of tokens that
 are bare bytes, and the entropy of the text's tokens against the most its length allows are compared with the medians of
 the text's language (without one, of its script); entropy, which falls with length, with texts of the same power of two
 of tokens. A text outside the bands around them is rejected. Simple counts of words, symbols and repeats come beside them
@@ -8,7 +8,7 @@ and reject texts on their own.
 
 Medians are exact to 0.001 and taken over all texts that the counts keep. Defined results: null and empty texts have
 counts of 0 and are rejected (under 50 words); a language with a single text is its own median and kept; a null doc_id is
-an ordinary row; repeated rows are judged alike; further columns are ignored.
+an ordinary row; ids keep their type; repeated rows are judged alike; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, mix, steps, stored, vocabulary_file
+from .common import Words, id_type, mix, steps, stored, vocabulary_file
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 SYMBOLS = b"#*$%&|<>"
@@ -117,8 +117,8 @@ def measured(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
                 ["doc_id", "band", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "chars_per_token", "byte_share", "entropy_ratio", "size_class"],
             )
 
-    kind = "doc_id long, band string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, chars_per_token double, byte_share double, entropy_ratio double, size_class long"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).mapInArrow(run, kind)
+    kind = f"doc_id {id_type(docs)}, band string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, chars_per_token double, byte_share double, entropy_ratio double, size_class long"
+    return docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).mapInArrow(run, kind)
 
 
 def medians(m: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -5,7 +5,7 @@ suffix sums give, for each length taken as a context limit, the documents and to
 when all are cut to it. Quantiles and totals for any limit are read off these rows, without another look at the texts.
 
 Defined results: null and empty texts have length 0; special tokens' strings in a text are ordinary text; a null group is
-a group; repeated rows count each; an empty table gives an empty histogram; further columns are ignored.
+a group; repeated rows count each; ids keep their type; an empty table gives an empty histogram; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,8 +19,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import steps, vocabulary_file
+from .common import id_type, steps, vocabulary_file
 
+#: Where the public vocabulary lies on the driver unless told otherwise.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the pattern that belongs to the vocabulary; it splits text before merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -49,8 +50,8 @@ def encoded_lengths(docs: DataFrame, group: Column | None = None, vocabulary: st
             n = np.fromiter((len(encode(t)) if t else 0 for t in part.column(2).to_pylist()), np.int64, part.num_rows)
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(n)], ["doc_id", "grp", "n_tokens"])
 
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (group if group is not None else F.lit("all")).cast("string").alias("grp"), F.col("text").cast("string").alias("text"))
-    return own.mapInArrow(run, "doc_id long, grp string, n_tokens long")
+    own = docs.select("doc_id", (group if group is not None else F.lit("all")).cast("string").alias("grp"), F.col("text").cast("string").alias("text"))
+    return own.mapInArrow(run, f"doc_id {id_type(docs)}, grp string, n_tokens long")
 
 
 def histogram(lengths: DataFrame) -> DataFrame:

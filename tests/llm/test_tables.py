@@ -1,8 +1,10 @@
 """Decontamination, chat, mixing, pseudonyms, URLs and the pipeline: against SQL and plain Python."""
 
 import datetime
+import math
 import re
 import sys
+from collections import Counter
 from pathlib import Path
 
 import numpy as np
@@ -72,16 +74,25 @@ def test_snapshots_collapse(spark, monkeypatch):
     a = [("user", "hi"), ("assistant", "yo"), ("user", "more"), ("assistant", "ok"), ("user", "bye")]
     logs = {1: a[:2], 2: a, 3: a[:4], 4: a[:1] + [("assistant", "no")], 5: a, 6: [("user", None)], 7: [("user", "")], 8: [(None, "hi")]}
     rows = [(c, k, r, t, "z") for c, x in logs.items() for k, (r, t) in enumerate(x)] + [(1, 0, "user", "hi", "z")]
-    got = chat.rendered(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string, place string")).orderBy("conv_id", "part").collect()
-    kept = {}
-    for r in got:
-        kept.setdefault(r.conv_id, []).append(r.chat)
-    assert set(kept) == {2, 4, 6, 7, 8}
-    assert "".join(kept[2]) == "".join(f"<|im_start|>{r}\n{t}<|im_end|>\n" for r, t in a) and len(kept[2]) == 3
-    assert {r.conv_id: r.n_copies for r in got}[2] == 2
+    got = chat.rendered(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string, place string")).collect()
+    kept = {r.conv_id: r.chat for r in got}
+    assert len(got) == len(kept) and set(kept) == {2, 4, 6, 7, 8}
+    assert kept[2] == "".join(f"<|im_start|>{r}\n{t}<|im_end|>\n" for r, t in a)
+    assert {r.conv_id: (r.n_turns, r.n_copies) for r in got}[2] == (5, 2)
     assert chat.rendered(spark.createDataFrame([], "conv_id long, turn int, role string, text string")).count() == 0
 
 
+def test_odd_conversations(spark):
+    """Null ids are one conversation, null turns come first, a long conversation is one row."""
+    long = [(9, k, "user", "x" * 1000 + str(k)) for k in range(700)]
+    rows = [(None, 1, "user", "b"), (None, None, "user", "a"), (None, 1, "user", "b"), *long, (10, 0, "user", "y" * 3_000_000)]
+    got = {r.conv_id: r for r in chat.rendered(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").repartition(3)).collect()}
+    assert set(got) == {None, 9, 10}
+    assert got[None].chat == "<|im_start|>user\na<|im_end|>\n<|im_start|>user\nb<|im_end|>\n" and got[None].n_turns == 2
+    assert got[9].n_turns == 700 and got[9].chat == "".join(f"<|im_start|>user\n{t}<|im_end|>\n" for _, _, _, t in long)
+    assert len(got[10].chat) > 3_000_000
+
+
 # Mixing.
 
 
@@ -231,13 +242,45 @@ def test_rules_on_odd_urls(spark):
     assert urls.judged(spark.createDataFrame([], "page_id long, url string")).count() == 0
 
 
-def test_trees_learn_lexical_signs():
+def plain_features(u):
+    """Of a URL: what urls.lexical computes, in plain Python."""
+    host = re.match(r"(?s)(?:.*?://([^/?#]*))?", u)[1] or ""
+    tail = u.partition("://")[2][len(host) :]
+    path, c, host = re.split("[?#]", tail)[0], Counter(u), "".join(x.lower() if x.isascii() else x for x in host)
+    n = max(len(u), 1)
+    return [len(u), len(host), len(path), path.count("/"), sum(x in "0123456789" for x in u) / n, -sum(k / n * math.log2(k / n) for k in c.values()), tail.count("=") + tail.count("&"), host.count("-"), host.count(".") + 1, len(host.split(".")[0])]
+
+
+def test_url_features_and_verdicts_equal_plain_ones(spark):
+    """Features, out-of-fold rates, the trees and the verdicts of unlisted URLs, all against plain Python."""
     rng = np.random.default_rng(0)
-    rows = [(f"http://{'spam' if b else 'site'}{rng.integers(99)}.org/" + ("1234567890" * 3 + "?a=1&b=2" if b else "about/us"), int(b)) for b in rng.random(600) < 0.5]
-    m = urls.UrlModel(rows[:400])
-    p = m.chance([u for u, _ in rows[400:]])
-    assert np.mean((p > 0.5) == np.array([v for _, v in rows[400:]])) > 0.95
-    assert urls.UrlModel([]).chance(["x"]).tolist() == [0.0]
+    known = [(f"http://{'spam' if b else 'site'}{rng.integers(99)}.k.{'biz' if b else 'org'}/" + ("1234567890" * 3 + "?a=1&b=2" if b else "about/us") + str(i), int(b)) for i, b in enumerate(rng.random(400) < 0.5)]
+    rules = [("block", "k.biz/"), ("allow", "k.org/")]
+    open_ = ["http://spam1.biz/" + "1234567890" * 3 + "?a=9&b=2", "http://site7.org/about/us", "http://New.site.example/x?y=1#z", "x", "", "http://\u00e9\u00e9.org/1", "ftp://a-b.c-d.biz/" + "9" * 30_000, None]
+    rows = [(i, u, "clash", 1.0) for i, u in enumerate([u for u, _ in known] + open_ + open_[:2])]
+    got = {r.page_id: r for r in urls.judged(spark.createDataFrame(rows, "page_id long, url string, x string, r1 double"), rules).collect()}
+    assert len(got) == len(rows) and all(got[i].verdict == ("block" if v else "allow") for i, (_, v) in enumerate(known))
+    # the same trees from plain features and rates
+    fold = {r.url: r.f for r in spark.createDataFrame([(u,) for u, _ in known], "url string").select("url", urls.fold(F.col("url")).alias("f")).collect()}
+    base = sum(v for _, v in known) / len(known)
+
+    def ends(u):
+        host = "".join(x.lower() if x.isascii() else x for x in re.match(r"(?s)(?:.*?://([^/?#]*))?", u)[1] or "")
+        return host.split(".")[-1], ".".join(host.split(".")[-2:])
+
+    def rate(u, k, own):
+        at = [v for w, v in known if k in ends(w) and not (own and fold[w] == fold[u])]
+        return (sum(at) + base) / (len(at) + 1)
+
+    row = lambda u, own: plain_features(u) + [rate(u, k, own) for k in ends(u)]
+    train = sorted(known)
+    model = urls.UrlModel(np.array([row(u, True) for u, _ in train]), np.array([v for _, v in train], float), base, np.ones(len(train)))
+    want = model.chance(np.array([row(u or "", False) for u in open_]))
+    for i, p in enumerate(want):
+        r = got[len(known) + i]
+        assert r.block_chance == pytest.approx(p, abs=1e-9) and r.verdict == ("block" if p >= 0.5 else "allow"), open_[i]
+    assert [got[len(known) + len(open_) + i].verdict for i in (0, 1)] == ["block", "allow"]
+    assert urls.UrlModel(np.empty((0, 12)), np.empty(0), 0.0, np.empty(0)).chance(np.zeros((1, 12))).tolist() == [0.0]
 
 
 def test_suffix_rates_count_all_and_the_sample_has_rare_verdicts(spark):
@@ -246,8 +289,8 @@ def test_suffix_rates_count_all_and_the_sample_has_rare_verdicts(spark):
     df = spark.createDataFrame(rows, "url string, host string, blocked int")
     base = 3 / 1003
     for size in (40, 20_000):
-        model, rates = urls.fitted(df, size)
-        got = {r.suffix: r.rate for r in rates.collect()}
+        model, counts = urls.fitted(df, size)
+        got = {r.suffix: (r.b + base) / (r.n + 1) for r in counts.groupBy("suffix").agg(F.sum("b").alias("b"), F.sum("n").alias("n")).collect()}
         assert model.base == base and model.trees is not None and len(got) == 52
         assert got["rare.org"] == pytest.approx((3 + base) / 4) and got["s9.org"] == pytest.approx(base / 21) and got["org"] == pytest.approx((3 + base) / 1004)
         parts = [(f.count(), {r.v for r in f.collect()}, w) for f, w in urls.sampled(df.distinct().withColumnRenamed("blocked", "v"), size)]
