@@ -23,7 +23,7 @@ def _row(*names: str) -> Column:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go."""
+    """Rejected documents go, among them null, empty and short texts. Rows of like id, text and language share a verdict; repeated rows all stay or all go."""
     key = _row("doc_id", "text", "lang")
     good = quality.judged(docs.withColumn("doc_id", key)).where("kept").select(F.col("doc_id").alias("_id")).distinct()
     return docs.withColumn("_key", key).join(good, F.col("_key") == F.col("_id"), "left_semi").select(COLUMNS)
@@ -32,9 +32,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays, the one of smallest id: five-word shingles, similarity 0.8.
 
-    Different texts of one doc_id are documents of their own, the one of smaller hash first. Rows without a doc_id stay.
+    Different texts of one doc_id are documents of their own, the one of smaller hash first; a row repeated whole is one
+    document and comes once. Rows without a doc_id stay, and so do null and wordless texts. Ids keep their type and order as it does.
     """
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("_h")).where("doc_id IS NOT NULL")
+    docs = docs.select(COLUMNS).distinct()
+    own = docs.select("doc_id", "text", F.xxhash64("text").alias("_h")).where("doc_id IS NOT NULL")
     ids = stored(own.select("doc_id", "_h").distinct())
     if not ids.groupBy("doc_id").count().where("count > 1").limit(1).count():
         gone = neardup.near_duplicates(docs, width=5, num=80, den=100).where("NOT kept").select(F.col("doc_id").alias("_id")).distinct()
@@ -48,19 +50,19 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a benchmark passage go."""
+    """Documents with a benchmark passage go. Rows of like id and text share a verdict, whatever others have their id; null texts stay."""
     key = _row("doc_id", "text")
     found = decontaminate.decontaminated(docs.withColumn("doc_id", key), table(spark, sf_dir, "benchmark")).where("contaminated").select(F.col("doc_id").alias("_id")).distinct()
     return docs.withColumn("_key", key).join(found, F.col("_key") == F.col("_id"), "left_anti").select(COLUMNS)
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal values become pseudonyms of their format."""
+    """Personal values become pseudonyms of their format; n_chars follows where a text changes. Every row stays, null and empty texts as they are, repeated rows alike."""
     return pii.pseudonymised(docs, KEY).withColumn("n_chars", F.when(F.col("n_values") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")).select(COLUMNS)
 
 
 def mixing_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are drawn by their calibrated probabilities."""
+    """Documents are drawn by their calibrated probabilities. Null source or language is a value of its own; rows of like id and cell are drawn alike."""
     return mixing.drawn(docs)
 
 
