@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from costloom import queries
 from costloom.config import LENS_ERAS, Eras, FrameSpec
 from costloom.errors import DataQualityError, LedgerError, PersistenceError, ScoringAborted
-from costloom.operators import calibrate, factory
+from costloom.operators import calibrate, detector, factory, features
 from costloom.operators.gbm import QuantileGBM, transform_experiment
 from costloom.plans import frames, pipeline
 from costloom.plans.lens import lens
@@ -191,14 +191,59 @@ def test_streams_equal_batch(spark, tables, tmp_path):
     assert sum(seen) == 480
 
 
-def test_cusum_stream(spark, tmp_path):
-    src = str(tmp_path / "z")
-    spark.createDataFrame([(date(2024, 1, 1) + timedelta(days=i), "g", 2.0) for i in range(10)], "run_date date, g string, z double").coalesce(1).write.parquet(src)
+def _by_day(spark, rows, schema, at, parts=3):
+    """Files whose days follow each other, as loads do."""
+    df = spark.createDataFrame(sorted(rows, key=lambda r: r[0]), schema)
+    size = -(-len(rows) // parts)
+    for k in range(parts):
+        spark.createDataFrame(sorted(rows, key=lambda r: r[0])[k * size : (k + 1) * size], schema).coalesce(1).write.mode("append").parquet(at)
+    return df
+
+
+def test_stateful_streams_equal_batch(spark, tmp_path):
+    rng = random.Random(11)
+    d = [date(2024, 1, 1) + timedelta(days=i) for i in range(90)]
+    kind = "run_date date, g string, y_true double, q05 double, q50 double, q95 double"
+    led = _by_day(spark, [(x, g, rng.gauss(100, 5) + (12 if i > 60 and g == "a" else 0), 95.0, 100.0, 105.0) for i, x in enumerate(d) for g in "ab"], kind, str(tmp_path / "led"))
+    src = lambda: streams.read_stream(spark, str(tmp_path / "led"), kind, 1)
+    got = []
+    streams.run_available(streams.cusum_stream(src(), ["g"]), str(tmp_path / "c1"), lambda b, _: got.extend(b.collect())).awaitTermination(90)
+    want = {(r.g, r.run_date): r for r in detector.cusum(led, ["g"]).collect()}
+    assert len(got) == len(want) == 180 and any(r.alarm for r in got)
+    for r in got:
+        w = want[r.g, r.run_date]
+        assert r.alarm == w.alarm and (w.z is None or abs(r.z - w.z) < 1e-9)
     got = []
-    df = streams.cusum_stream(streams.read_stream(spark, src, "run_date date, g string, z double"), ["g"])
-    streams.run_available(df, str(tmp_path / "c"), lambda b, _: got.extend(b.collect())).awaitTermination(60)
-    alarms = [r.run_date.day for r in sorted(got, key=lambda r: r.run_date) if r.alarm]
-    assert len(got) == 10 and alarms == [4, 8]
+    streams.run_available(streams.margin_stream(src(), ["g"]), str(tmp_path / "c2"), lambda b, _: got.extend(b.collect())).awaitTermination(90)
+    own = {(r.g, r.run_date): r.margin for r in detector.calibrated(led, ["g"]).collect()}
+    assert len(got) == 180 and all(r.margin is None or abs(r.margin - own[r.g, r.run_date]) < 1e-12 for r in got) and sum(r.margin is not None for r in got) == 120
+
+
+def test_concurrency_and_rewrites_streams(spark, tmp_path):
+    rng = random.Random(12)
+    t0 = datetime(2024, 1, 1)
+    jobs = [(t0 + timedelta(days=i, hours=rng.randrange(20)), f"p{i % 2}") for i in range(40) for _ in range(4)]
+    jobs = [(a, a + timedelta(hours=rng.randrange(1, 30)), p) for a, p in jobs] + [(t0, None, "p0")]
+    kind = "start_time timestamp, end_time timestamp, pool_name string"
+    df = _by_day(spark, jobs, kind, str(tmp_path / "jobs"))
+    got = []
+    streams.run_available(streams.concurrency_stream(streams.read_stream(spark, str(tmp_path / "jobs"), kind, 1), ["pool_name"], 3), str(tmp_path / "c1"), lambda b, _: got.extend(b.collect())).awaitTermination(90)
+    want = {(r.pool_name, r.run_date): (r.peak_concurrency, r.mean_concurrency) for r in features.concurrency(df, ["pool_name"]).collect()}
+    assert 60 < len(got) < len(want)
+    for r in got:
+        assert (r.peak_concurrency, pytest.approx(r.mean_concurrency)) == want[r.pool_name, r.run_date]
+    at = [datetime(2024, 1, 2, h) for h in range(3)]
+    kind = "run_date date, subscription_id string, meter string, update_time timestamp"
+    spark.createDataFrame([(date(2024, 1, 1), "s", "m", at[0]), (date(2024, 1, 1), "s", "m", at[0]), (date(2024, 1, 1), "s", "n", at[0]), (date(2024, 1, 1), "s", "n", at[2])], kind).write.parquet(str(tmp_path / "raw"))
+    seen = []
+    q = streams.violations(streams.read_stream(spark, str(tmp_path / "raw"), kind)).writeStream.outputMode("update").option("checkpointLocation", str(tmp_path / "c2")).trigger(availableNow=True).foreachBatch(lambda b, _: seen.extend(b.collect())).start()
+    q.awaitTermination(90)
+    assert {(r.meter, r.last_write) for r in seen} == {("n", at[2])}
+    days, kind = [], "run_date date, subscription_id string, run_type string, status string"
+    for k, status in enumerate(("Error", "Complete")):
+        spark.createDataFrame([(date(2024, 1, 1), "s", "Cost", status)], kind).write.mode("append").parquet(str(tmp_path / "log"))
+        streams.completed_loads(streams.read_stream(spark, str(tmp_path / "log"), kind), lambda b, _: days.extend(b.collect()), str(tmp_path / "c3")).awaitTermination(90)
+        assert len(days) == k
 
 
 def test_eras_are_parameters(spark):
