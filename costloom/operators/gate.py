@@ -75,7 +75,7 @@ def priceable(usage: str = "usage_quantity", cost: str = "pre_tax_cost"):
 
 
 def training_slice_1b(frame: DataFrame) -> DataFrame:
-    return frame.where("post_glide AND data_regime = 'featured_gated' AND gate_state = 'gated_complete'")
+    return frame.where("post_glide AND data_regime = 'featured_gated'")
 
 
 def filter_unknown(frame: DataFrame, limit: float = 0.2) -> DataFrame:

@@ -148,5 +148,5 @@ def frame_2(tables: dict[str, DataFrame], eras: Eras = Eras(), levels: Sequence[
 
 
 BUILDERS = {"1a": frame_1a, "1b": frame_1b, "2": frame_2}
-#: The rows each frame is judged on.
-MASKS = {"1a": None, "1b": "post_glide", "2": "unknown_pct <= 0.20"}
+#: The rows each frame is judged on, within the regimes asked for.
+SLICES = {"1a": lambda f: f, "1b": gate.training_slice_1b, "2": gate.filter_unknown}

@@ -29,15 +29,17 @@ def build(tables: dict[str, DataFrame], eras: Eras = Eras(), check: bool = True)
     if check:
         checks.assert_one_write(tables["raw_cost"], "billing", None)
     out = {name: f(tables, eras, check=check) for name, f in fr.BUILDERS.items()}
-    for f in out.values():
+    for name, f in out.items():
         f.df = stored(f.df)
+        if check:  # no join has copied a row
+            rows, keys = f.df.agg(F.count("*"), F.countDistinct(F.struct(f.spec.date_col, *f.spec.group_keys))).first()
+            checks.assert_same_rows(keys, rows, f"frame {name} by its keys")
     return out
 
 
 def backtest(frame: Frame, name: str, models: Sequence[str] = baselines.MODELS, regimes: Sequence[str] = baselines.DEFAULT_REGIMES, min_train_days: int = 180, gbm: bool = False, rounds: int = 60) -> tuple[DataFrame, DataFrame]:
     """(ledger, metrics) of the baselines, and of the quantile GBM as it is and calibrated if asked, on the frame's honest slice. The ledger is stored."""
-    mask = fr.MASKS.get(name)
-    rows = baselines.prepare(frame.df, regimes, F.expr(mask) if mask else None)
+    rows = baselines.prepare(fr.SLICES[name](frame.df), regimes)
     origins = baselines.monthly_origins(rows, min_train_days)
     if not origins:
         raise BacktestError(f"{name}: no month follows {min_train_days} days of history")
