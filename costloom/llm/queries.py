@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from . import chat, ctw, decontaminate, langid, mixing, neardup, pii, quality, tokens, urls
 from .common import stored, table
 
-#: Of the registered pseudonym query, whose rows must be the same everywhere; a deployment sets spark.costloom.pseudonymKey.
+#: Of the registered pseudonym query where the session has no spark.costloom.secret.
 DEMO_KEY = "costloom-demo-key"
 
 
@@ -49,7 +49,8 @@ def op8_url_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op9_pii(spark: SparkSession, sf: str) -> DataFrame:
-    return pii.pseudonymised(table(spark, sf, "documents"), DEMO_KEY).select("doc_id", "text", "n_values")
+    key = spark.conf.get("spark.costloom.secret", DEMO_KEY)
+    return pii.pseudonymised(table(spark, sf, "documents"), key).select("doc_id", "text", "n_values")
 
 
 def op10_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
