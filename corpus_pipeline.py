@@ -13,7 +13,7 @@ from costloom.llm import decontaminate, mixing, neardup, pii, quality
 from costloom.llm.common import stored, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: Pseudonyms of this corpus; a deployment has its own key.
+#: Of the pseudonyms where the session has no spark.costloom.secret.
 KEY = "costloom-pipeline-key"
 
 
@@ -58,7 +58,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal values become pseudonyms of their format; n_chars follows where a text changes. Every row stays, null and empty texts as they are, repeated rows alike."""
-    return pii.pseudonymised(docs, KEY).withColumn("n_chars", F.when(F.col("n_values") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")).select(COLUMNS)
+    key = spark.conf.get("spark.costloom.secret", KEY)
+    return pii.pseudonymised(docs, key).withColumn("n_chars", F.when(F.col("n_values") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")).select(COLUMNS)
 
 
 def mixing_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
