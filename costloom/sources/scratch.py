@@ -30,4 +30,13 @@ def stored(df: DataFrame) -> DataFrame:
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete the files of tables that `stored` made and that nothing will read again."""
+    for df in tables:
+        at = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+        at.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
