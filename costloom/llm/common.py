@@ -10,9 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.scratch import shared_dir, stored
+from ..sources.scratch import dropped, shared_dir, stored
 
-__all__ = ["shared_dir", "stored"]  # for the operators
+__all__ = ["dropped", "shared_dir", "stored"]  # for the operators
 
 #: Bytes of text that one vectorised step holds; a longer text is a step of its own.
 STEP_BYTES = 2 << 20

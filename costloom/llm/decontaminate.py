@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import dropped, stored
 
 #: The words of a lower-cased text are runs of letters, digits and all beyond ASCII; what parts them.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -155,7 +155,8 @@ def decontaminated(docs: DataFrame, bench: DataFrame, window: int = 10, rarest:
 
     index: that of docs, if it is there already.
     """
-    index = index or build(docs)
+    own = None if index else build(docs)
+    index = index or own
     its = items(bench, window)
     df = index.frequencies(its.select(F.explode("w").alias("term")).distinct())
     runs = matches(index, its, df, window, rarest)
@@ -167,7 +168,7 @@ def decontaminated(docs: DataFrame, bench: DataFrame, window: int = 10, rarest:
     for side in (words_hit, named, near):
         out = out.join(side, "rid", "left")
     out = out.withColumns({"items": F.coalesce("items", none), "near_items": F.coalesce("near_items", none), "n_hit": F.coalesce("n_hit", F.lit(0)).cast("long")})
-    return out.select(
+    out = out.select(
         "doc_id",
         "n_words",
         "n_hit",
@@ -178,6 +179,11 @@ def decontaminated(docs: DataFrame, bench: DataFrame, window: int = 10, rarest:
         "items",
         "near_items",
     )
+    if own is None:
+        return out
+    out = stored(out)
+    dropped(own.texts, own.postings)  # an index that nobody asked to keep
+    return out
 
 
 def proximity(docs: DataFrame, bench: DataFrame, terms: int = 4, within: int = 20, index: Index | None = None) -> DataFrame:
