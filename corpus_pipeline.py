@@ -35,7 +35,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Different texts of one doc_id are documents of their own, the one of smaller hash first; a row repeated whole is one
     document and comes once. Rows without a doc_id stay, and so do null and wordless texts. Ids keep their type and order as it does.
     """
-    docs = docs.select(COLUMNS).distinct()
+    docs = docs.select(COLUMNS)
+    again = stored(docs.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_id")).count().where("count > 1").select("_id"))
+    if again.limit(1).count():  # only rows whose id repeats can be rows repeated whole
+        many, of = docs.join(again, F.col("doc_id") == F.col("_id"), "left_semi").distinct(), F.col("doc_id") == F.col("_id")
+        docs = stored(docs.join(again, of, "left_anti").unionByName(many))
     own = docs.select("doc_id", "text", F.xxhash64("text").alias("_h")).where("doc_id IS NOT NULL")
     ids = stored(own.select("doc_id", "_h").distinct())
     if not ids.groupBy("doc_id").count().where("count > 1").limit(1).count():
